@@ -12,7 +12,7 @@ from scoreloom.operators.upsert import last_per_key
 from scoreloom.plans import views
 from scoreloom.plans.registry import query
 from scoreloom.plans.summaries import _summary_sql
-from scoreloom.plans.views import EVENTS, ITEM_RATINGS, ITEMS, RATINGS
+from scoreloom.plans.views import EVENTS, ITEM_RATINGS, ITEMS, RATINGS, two_decimals_sql
 
 ITEM, USER = "77", "42"
 RATING_COLUMNS = "row_key, user_id, item_id, rating, timestamp"
@@ -146,13 +146,13 @@ def titles_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 HITS = f"(SELECT * FROM {ITEMS} WHERE contains(lower(title), 'gizmo'))"
-FIGURES = f"""(SELECT item_id, CAST(count(*) AS INTEGER) AS n, avg(rating) AS mean
-  FROM {KEYED} GROUP BY item_id)"""
+FIGURES = f"""(SELECT item_id, CAST(count(*) AS INTEGER) AS n,
+  {two_decimals_sql('sum(rating)', 'count(*)')} AS mean FROM {KEYED} GROUP BY item_id)"""
 
 
 @query(f"""
 SELECT h.item_id, h.title, h.genres, coalesce(f.n, 0) AS rating_count,
-  coalesce(printf('%.2f', round(f.mean, 2)), 'N/A') AS avg_rating
+  coalesce(f.mean, 'N/A') AS avg_rating
 FROM {HITS} h LEFT JOIN {FIGURES} f ON f.item_id = h.item_id""")
 def search_with_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search_with_figures(
@@ -179,7 +179,7 @@ WITH rated AS (SELECT h.item_id, h.title, h.genres, f.n, f.mean, k.row_key, k.ra
   FROM {HITS} h LEFT JOIN {FIGURES} f ON f.item_id = h.item_id
   LEFT JOIN {KEYED} k ON k.item_id = h.item_id)
 SELECT item_id, title, genres, coalesce(n, 0) AS rating_count,
-  coalesce(printf('%.2f', round(mean, 2)), 'N/A') AS avg_rating, coalesce(chunk, 0) AS chunk,
+  coalesce(mean, 'N/A') AS avg_rating, coalesce(chunk, 0) AS chunk,
   coalesce(string_agg(row_key || ' ' || rating || ' ' || timestamp, ',' ORDER BY row_key), '')
     AS ratings
 FROM rated GROUP BY item_id, title, genres, n, mean, chunk""")

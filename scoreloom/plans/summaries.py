@@ -12,7 +12,7 @@ from scoreloom.operators import summary
 from scoreloom.operators.lookup import one_name_per_item, with_names
 from scoreloom.plans import views
 from scoreloom.plans.registry import query
-from scoreloom.plans.views import EVENTS, ITEM_RATINGS, ITEMS, LISTED, RATINGS
+from scoreloom.plans.views import EVENTS, ITEM_RATINGS, ITEMS, LISTED, RATINGS, two_decimals_sql
 from scoreloom.sinks.writers import summary_cells
 
 WRITE_TIME = "2024-02-01 12:00:00"
@@ -113,9 +113,9 @@ def _by_rating_sql(where: str, having: str) -> str:
     return f"""
 SELECT r.item_id, CASE WHEN i.item_id IS NULL THEN 'Unknown' ELSE title END AS title,
   CASE WHEN i.item_id IS NULL THEN 'Unknown' ELSE genres END AS genres,
-  printf('%.2f', round(mean, 2)) AS avg_rating, rating_count
-FROM (SELECT item_id, avg(rating) AS mean, CAST(count(*) AS INTEGER) AS rating_count
-  FROM {ITEM_RATINGS} WHERE {where} GROUP BY item_id HAVING {having}) r
+  mean AS avg_rating, rating_count
+FROM (SELECT item_id, {two_decimals_sql('sum(rating)', 'count(*)')} AS mean,
+  CAST(count(*) AS INTEGER) AS rating_count FROM {ITEM_RATINGS} WHERE {where} GROUP BY item_id HAVING {having}) r
 LEFT JOIN {LISTED} i ON i.item_id = r.item_id"""
 
 
