@@ -4,6 +4,10 @@ A cell is `(row_key, family, qualifier, version, value)`. Writing adds cells; th
 newest version of a cell is its current value. Of two cells with the same version
 the smaller value counts, in every operator alike. All operators take and return
 DataFrames, so a mutation is a new frame that the caller stores where it likes.
+
+Where an aggregate meets a semi-join, the aggregate is written first: it shrinks a
+cell with very many versions before any shuffle, and Spark itself moves the
+semi-join below it whenever the key list is small enough to broadcast.
 """
 
 from __future__ import annotations
@@ -98,7 +102,7 @@ def get_row(cells: DataFrame, row_key: str) -> DataFrame:
 
 def get_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
     """Current cells of many rows, keys given as a frame with `row_key`."""
-    return latest(cells.join(keys.select("row_key"), "row_key", "left_semi"))
+    return latest(cells).join(keys.select("row_key").distinct(), "row_key", "left_semi")
 
 
 def key_range(df: DataFrame, start: str, stop: str) -> DataFrame:
@@ -126,7 +130,7 @@ def count_rows(cells: DataFrame) -> DataFrame:
 
 def delete_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
     """All cells except those of the given row keys."""
-    return cells.join(keys.select("row_key"), "row_key", "left_anti")
+    return cells.join(keys.select("row_key").distinct(), "row_key", "left_anti")
 
 
 def delete_cells(
@@ -137,13 +141,13 @@ def delete_cells(
     `targets` has row_key, family and qualifier. With `all_versions` the target
     cells disappear altogether.
     """
-    wanted = targets.select(*CELL_ID)
+    wanted = targets.select(*CELL_ID).distinct()
     if all_versions:
         return cells.join(wanted, CELL_ID, "left_anti")
     newest = (
-        cells.join(wanted, CELL_ID, "left_semi")
-        .groupBy(*CELL_ID)
+        cells.groupBy(*CELL_ID)
         .agg(F.max("version").alias("version"))
+        .join(wanted, CELL_ID, "left_semi")
     )
     return cells.join(newest, [*CELL_ID, "version"], "left_anti")
 

@@ -135,7 +135,7 @@ def reconcile(ingest: Ingest, stored: DataFrame) -> DataFrame:
         "rejected_count": ingest.rejected.agg(F.count("record").alias("n")),
         "key_count": keys.agg(F.count_distinct("row_key").alias("n")),
         "stored_count": stored.agg(one.alias("n")),
-        "found_count": stored.join(keys, "row_key", "left_semi").agg(one.alias("n")),
+        "found_count": stored.join(keys.distinct(), "row_key", "left_semi").agg(one.alias("n")),
     }
     parts = [df.select(F.lit(name).alias("figure"), "n") for name, df in figures.items()]
     rows = reduce(DataFrame.unionByName, parts)
