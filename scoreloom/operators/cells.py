@@ -27,7 +27,10 @@ def _newest_first() -> Column:
 def to_cells(
     df: DataFrame, row_key: Column, columns: dict[str, tuple[str, str]], version: Column
 ) -> DataFrame:
-    """Turn each row of a typed frame into one text cell per non-NULL column."""
+    """Turn each row of a typed frame into one text cell per non-NULL column.
+
+    A row without a version gets version 0, the oldest.
+    """
     cells = F.array(
         *[
             F.struct(
@@ -40,7 +43,7 @@ def to_cells(
     )
     keyed = df.select(
         row_key.cast("string").alias("row_key"),
-        version.cast("bigint").alias("version"),
+        F.coalesce(version.cast("bigint"), F.lit(0)).alias("version"),
         F.inline(cells),
     )
     return keyed.where(F.col("value").isNotNull()).select(*CELL_ID, "version", "value")
@@ -50,9 +53,11 @@ def put(cells: DataFrame, new_cells: DataFrame) -> DataFrame:
     return cells.unionByName(new_cells)
 
 
-def latest(cells: DataFrame) -> DataFrame:
-    """The current value of every cell."""
+def latest(cells: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """The current value of every cell, or of the cells of the given row keys."""
     newest = cells.groupBy(*CELL_ID).agg(F.min(_newest_first()).alias("_newest"))
+    if keys is not None:
+        newest = newest.join(keys.select("row_key").distinct(), "row_key", "left_semi")
     return newest.select(
         *CELL_ID, (-F.col("_newest.age")).alias("version"), F.col("_newest.value").alias("value")
     )
@@ -102,7 +107,7 @@ def get_row(cells: DataFrame, row_key: str) -> DataFrame:
 
 def get_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
     """Current cells of many rows, keys given as a frame with `row_key`."""
-    return latest(cells).join(keys.select("row_key").distinct(), "row_key", "left_semi")
+    return latest(cells, keys)
 
 
 def key_range(df: DataFrame, start: str, stop: str) -> DataFrame:

@@ -41,8 +41,8 @@ def with_names(
     if salts > 1:
         keys.append("_salt")
         facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)))
-        every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint")
-        listed = listed.withColumn("_salt", every_salt)
+        every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+        listed = listed.withColumn("_salt", F.explode(every_salt))
     joined = facts.join(listed, keys, "left")
     name = F.when(F.col("_listed"), F.col("name")).otherwise(F.lit(default))
     return joined.withColumn("name", name).drop("_listed", "_salt")

@@ -15,7 +15,8 @@ TRIGGER = "100 milliseconds"
 def event_cells(events: DataFrame, version: Column | None = None) -> DataFrame:
     """Four cells per event under its item id; through `latest` the last event wins.
 
-    The version is the event time in milliseconds unless another column is given.
+    The version is the event time in milliseconds unless another column is given;
+    an event without a time is older than all others.
     """
     moment = F.unix_millis(F.col("event_time").cast("timestamp")) if version is None else version
     keyed = events.where(F.col("item_id").isNotNull())
