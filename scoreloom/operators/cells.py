@@ -12,11 +12,11 @@ semi-join below it whenever the key list is small enough to broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scoreloom.functions.keys import key_part, key_parts
-from scoreloom.schemas import CELL_ID, RATING_CELLS
+from scoreloom.schemas import CELL_ID, CELLS, RATING_CELLS
 
 
 def _newest_first() -> Column:
@@ -49,7 +49,14 @@ def to_cells(
     return keyed.where(F.col("value").isNotNull()).select(*CELL_ID, "version", "value")
 
 
+def one_cell(
+    spark: SparkSession, row_key: str, family: str, qualifier: str, value: str, version: int
+) -> DataFrame:
+    return spark.createDataFrame([(row_key, family, qualifier, version, value)], CELLS)
+
+
 def put(cells: DataFrame, new_cells: DataFrame) -> DataFrame:
+    """Add cells; a value with a newer version becomes the current one."""
     return cells.unionByName(new_cells)
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.operators.cells import wide
+from scoreloom.operators.cells import to_cells, wide
 from scoreloom.operators.lookup import one_name_per_item
+from scoreloom.operators.reports import read_hot_item_cells
 from scoreloom.plans import views
 from scoreloom.plans.registry import query
 from scoreloom.plans.views import EVENTS, LISTED
-from scoreloom.schemas import CELLS, HOT_ITEMS, RAW_EVENT_CELLS
+from scoreloom.schemas import CELLS, HOT_ITEM_CELLS, HOT_ITEMS, RAW_EVENT_CELLS
 from scoreloom.session import work_path
 from scoreloom.sinks import writers
 from scoreloom.sources import events as event_sources
@@ -125,7 +126,7 @@ def _stored_hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshot = work_path(spark, "hot-items")
     hot.run_hot_items(
         hot.parse_events(_stream_of_messages(spark, sf_dir)),
-        views.listed_items(spark, sf_dir),
+        _names(spark, sf_dir),
         writers.parquet_snapshot(snapshot),
         work_path(spark, "hot-items-state"),
         ALL_NOW,
@@ -145,6 +146,19 @@ def hot_topn_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hot.read_hot_items(_stored_hot_items(spark, sf_dir), 5).drop("update_time")
 
 
+@query(_windows_sql(TUMBLING) + TOP)
+def hot_topn_from_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows stored as cells of the ranking table, the newest ten read back."""
+    counts = window_counts(spark, sf_dir)
+    stored = to_cells(
+        counts.withColumn("update_time", F.col("end_time")),
+        F.concat_ws("_", "start_time", "name"),
+        HOT_ITEM_CELLS,
+        F.lit(1),
+    )
+    return hot.read_hot_items(read_hot_item_cells(stored)).drop("row_key", "update_time")
+
+
 @query(_windows_sql(
     TUMBLING, f"w + INTERVAL 10 MINUTE <= (SELECT max(event_time) FROM {EVENTS}) - INTERVAL 10 MINUTE"
 ))
@@ -153,7 +167,7 @@ def windowed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "windows")
     hot.run_window_counts(
         _stream_of_events(spark, sf_dir),
-        views.listed_items(spark, sf_dir),
+        _names(spark, sf_dir),
         path,
         work_path(spark, "windows-state"),
         trigger=ALL_NOW,

@@ -100,7 +100,7 @@ WITH ranked AS (SELECT *, CASE WHEN regexp_matches(row_key, '.*_{ITEM}(?:_.*)?$'
   WHEN split_part(row_key, '_', 2) = '{ITEM}' THEN 2 END AS match FROM {RATINGS})
 SELECT {RATING_COLUMNS} FROM ranked WHERE match = (SELECT min(match) FROM ranked)""")
 def fallback_lookup_of_item(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.find_ratings_of_item(_ratings(spark, sf_dir), ITEM)
+    return search.find_ratings_of_item(_ratings(spark, sf_dir), ITEM, by_pattern=True)
 
 
 @query(f"SELECT {ITEM_COLUMNS} FROM {ITEMS} WHERE contains(lower(title), 'ring')")

@@ -10,6 +10,7 @@ from scoreloom.functions.text import genre_list
 from scoreloom.functions.times import epoch_seconds_text
 from scoreloom.operators import summary
 from scoreloom.operators.lookup import one_name_per_item, with_names
+from scoreloom.operators.reports import read_summary, read_summary_of
 from scoreloom.plans import views
 from scoreloom.plans.registry import query
 from scoreloom.plans.views import EVENTS, ITEM_RATINGS, ITEMS, LISTED, RATINGS, two_decimals_sql
@@ -69,6 +70,24 @@ def item_summary_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary_cells(item_summary(spark, sf_dir), F.lit(WRITE_TIME).cast("timestamp"))
 
 
+def _stored_summary_sql(where: str) -> str:
+    return f"""
+SELECT CAST(item_id AS VARCHAR) AS row_key, CAST(item_id AS VARCHAR) AS item_id, title, genres,
+  CAST(max_rating AS VARCHAR) AS max_rating, CAST(avg_rating AS VARCHAR) AS avg_rating,
+  CAST(min_rating AS VARCHAR) AS min_rating, '{WRITE_TIME}' AS timestamp
+FROM ({_summary_sql(ITEMS, ITEM_RATINGS)}) s WHERE {where}"""
+
+
+@query(_stored_summary_sql("true"))
+def summary_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_summary(item_summary_cells(spark, sf_dir))
+
+
+@query(_stored_summary_sql("item_id = 77"))
+def summary_of_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_summary_of(item_summary_cells(spark, sf_dir), "77")
+
+
 @query(f"""
 SELECT avg(coalesce(try_cast(CASE WHEN flag = 'R' THEN 'returned' ELSE CAST(rating AS VARCHAR) END
   AS DOUBLE), 0.0)) AS avg_rating FROM {ITEM_RATINGS}""")

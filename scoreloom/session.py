@@ -9,14 +9,21 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def get_session(app_name: str = "scoreloom", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution on and timestamps pinned to UTC."""
+    """A session with adaptive execution on and timestamps pinned to UTC.
+
+    Streaming state lives in RocksDB, so that it may outgrow executor memory.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     )
     if master:
         builder = builder.master(master)

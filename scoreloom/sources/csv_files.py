@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from typing import NamedTuple
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,15 +45,24 @@ def read_item_names(spark: SparkSession, path: str) -> DataFrame:
     return wide.select(F.col("movieId").alias("item_id"), "title")
 
 
-class Ingest(NamedTuple):
-    """Accepted rows with `row_key` and `load_order`, and the rejected records as text."""
+@dataclass(frozen=True)
+class Ingest:
+    """The records of one file: keyed rows with `load_order`, `short` and `record`."""
 
-    accepted: DataFrame
-    rejected: DataFrame
+    records: DataFrame
+
+    @property
+    def accepted(self) -> DataFrame:
+        return self.records.where(~F.col("short")).drop("short", "record")
+
+    @property
+    def rejected(self) -> DataFrame:
+        """The text of the records that have too few fields."""
+        return self.records.where("short").select("record")
 
 
 def _fields(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """All fields as trimmed text plus `_short` and `load_order`.
+    """All fields as trimmed text plus `record`, `short` and `load_order`.
 
     A record with too few fields has its last required column empty *and* is
     reported as corrupt; a longer record is corrupt too but has that column.
@@ -79,34 +87,29 @@ def _fields(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     short = F.col(_REJECTED).isNotNull() & F.col(names[-1]).isNull()
     return raw.select(
         *[trim_field(F.coalesce(name, F.lit(""))).alias(name) for name in names],
-        F.col(_REJECTED),
-        short.alias("_short"),
+        F.col(_REJECTED).alias("record"),
+        short.alias("short"),
         order.alias("load_order"),
     )
 
 
-def _split(fields: DataFrame, columns: dict[str, Column]) -> Ingest:
-    accepted = fields.where(~F.col("_short")).select(
-        *[c.alias(name) for name, c in columns.items()], "load_order"
-    )
-    rejected = fields.where("_short").select(F.col(_REJECTED).alias("record"))
-    return Ingest(accepted, rejected)
+def _keyed(fields: DataFrame, columns: dict[str, Column]) -> Ingest:
+    renamed = [c.alias(name) for name, c in columns.items()]
+    return Ingest(fields.select(*renamed, "load_order", "short", "record"))
 
 
 def ingest_items(spark: SparkSession, path: str) -> Ingest:
-    fields = _fields(spark, path, schemas.ITEM_FILE_FIELDS)
     item = F.col("movieId")
-    return _split(
-        fields,
+    return _keyed(
+        _fields(spark, path, schemas.ITEM_FILE_FIELDS),
         {"row_key": item, "item_id": item, "title": F.col("title"), "genres": F.col("genres")},
     )
 
 
 def ingest_ratings(spark: SparkSession, path: str) -> Ingest:
-    fields = _fields(spark, path, schemas.RATING_FILE_FIELDS)
     user, item = F.col("userId"), F.col("movieId")
-    return _split(
-        fields,
+    return _keyed(
+        _fields(spark, path, schemas.RATING_FILE_FIELDS),
         {
             "row_key": rating_key(user, item),
             "user_id": user,
@@ -129,23 +132,32 @@ def reconcile(ingest: Ingest, stored: DataFrame) -> DataFrame:
     stored before do not count as a difference.
     """
     one = F.count(F.lit(1))
-    keys = ingest.accepted.select("row_key")
-    figures = {
-        "accepted_count": keys.agg(one.alias("n")),
-        "rejected_count": ingest.rejected.agg(F.count("record").alias("n")),
-        "key_count": keys.agg(F.count_distinct("row_key").alias("n")),
-        "stored_count": stored.agg(one.alias("n")),
-        "found_count": stored.join(keys.distinct(), "row_key", "left_semi").agg(one.alias("n")),
-    }
-    parts = [df.select(F.lit(name).alias("figure"), "n") for name, df in figures.items()]
-    rows = reduce(DataFrame.unionByName, parts)
-    sums = rows.agg(
-        *[F.sum(F.when(F.col("figure") == name, F.col("n"))).alias(name) for name in figures]
+    none = F.max(F.lit(0).cast("bigint"))
+    # The rows of the file and of the table are each counted in one pass.
+    file = ingest.records.agg(
+        one.alias("read_count"),
+        F.count(F.when(F.col("short"), 1)).alias("rejected_count"),
+        F.count_distinct(F.when(~F.col("short"), F.col("row_key"))).alias("key_count"),
+        none.alias("stored_count"),
+        none.alias("found_count"),
+    )
+    loaded = ingest.accepted.select("row_key").distinct().withColumn("_loaded", F.lit(True))
+    table = stored.select("row_key").join(loaded, "row_key", "left").agg(
+        none.alias("read_count"),
+        none.alias("rejected_count"),
+        none.alias("key_count"),
+        one.alias("stored_count"),
+        F.count("_loaded").alias("found_count"),
+    )
+    sums = file.unionByName(table).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in file.columns]
     )
     return sums.select(
-        (F.col("accepted_count") + F.col("rejected_count")).alias("read_count"),
+        "read_count",
         "rejected_count",
-        (F.col("accepted_count") - F.col("key_count")).alias("duplicate_count"),
+        (F.col("read_count") - F.col("rejected_count") - F.col("key_count")).alias(
+            "duplicate_count"
+        ),
         "stored_count",
         (F.col("found_count") == F.col("key_count")).alias("complete"),
     )

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from scoreloom.functions.numbers import lenient_double, lenient_int
 from scoreloom.functions.times import parse_time, time_text
-from scoreloom.operators.lookup import one_name_per_item, with_names
+from scoreloom.operators.lookup import with_names
 from scoreloom.schemas import EVENT_JSON_DDL, UNKNOWN_NAME
 from scoreloom.sinks.writers import BatchSink
 
@@ -100,7 +100,7 @@ def rating_trend(
 
 def run_hot_items(
     events: DataFrame,
-    items: DataFrame,
+    names: DataFrame,
     sink: BatchSink,
     checkpoint: str,
     trigger: dict | None = None,
@@ -111,10 +111,10 @@ def run_hot_items(
     """Start the ranking; after each trigger `sink` gets the current n rows.
 
     Complete mode keeps every window in the state store: an event may be as late
-    as it likes. `run_window_counts` bounds the state instead.
+    as it likes. `run_window_counts` bounds the state instead. Every micro-batch
+    joins `names` anew; `one_name_per_item(items).persist()` saves the repeated scan
+    of a large catalog and lets Spark see its true size.
     """
-    # Every micro-batch joins the same catalog; persisted, its true size is known.
-    names = one_name_per_item(items).persist()
     return (
         hot_items(events, names, window, n, **options)
         .writeStream.outputMode("complete")
@@ -127,7 +127,7 @@ def run_hot_items(
 
 def run_window_counts(
     events: DataFrame,
-    items: DataFrame,
+    names: DataFrame,
     path: str,
     checkpoint: str,
     delay: str = WINDOW,
@@ -141,7 +141,6 @@ def run_window_counts(
     State holds open windows only. Events later than `delay` are dropped, and the
     last windows stay unwritten until newer events arrive.
     """
-    names = one_name_per_item(items).persist()
     on_time = events.withColumn("event_time", F.col("event_time").cast("timestamp"))
     counts = window_counts(
         on_time.withWatermark("event_time", delay), names, window, slide, **options

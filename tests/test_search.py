@@ -80,6 +80,9 @@ def test_fallback_uses_the_first_strategy_with_matches(spark, ratings):
     assert keys_of(search.find_ratings_of_user(odd, "1")) == ["a"]
     assert keys_of(search.find_ratings_of_item(odd, "7")) == ["a", "b", "c"]
     assert keys_of(search.find_ratings_of_user(odd, "5")) == []
+    by_time = search.find_ratings_of_item(ratings, "100", by_pattern=True)
+    assert keys_of(by_time) == ["1_100", "3_1_100"]
+    assert keys_of(search.find_ratings_of_item(ratings, "100")) == ["1_100"]
     mixed = odd.unionByName(ratings)
     # Row "a" has user 1 in its column, but keys that start with 1_ exist.
     assert keys_of(search.find_ratings_of_user(mixed, "1")) == ["1_1", "1_100"]

@@ -93,7 +93,7 @@ def test_sliding_windows_count_an_event_twice(spark, items):
 def run_once(spark, items, folder, snapshot, checkpoint, **options):
     stream = hot.parse_events(sources.text_directory(spark, folder))
     hot.run_hot_items(
-        stream, items, writers.parquet_snapshot(snapshot), checkpoint, ALL_NOW, **options
+        stream, one_name_per_item(items), writers.parquet_snapshot(snapshot), checkpoint, ALL_NOW, **options
     ).awaitTermination()
     return spark.read.schema(HOT_ITEMS).parquet(snapshot)
 
@@ -130,7 +130,9 @@ def test_watermark_writes_each_closed_window_once(spark, items):
     def run(lines):
         writers.write_lines(messages(spark, lines), folder)
         stream = hot.parse_events(sources.text_directory(spark, folder))
-        hot.run_window_counts(stream, items, path, checkpoint, trigger=ALL_NOW).awaitTermination()
+        hot.run_window_counts(
+            stream, one_name_per_item(items), path, checkpoint, trigger=ALL_NOW
+        ).awaitTermination()
         read = spark.read.schema("start_time string, count int").parquet(path)
         return sorted(rows(read.select("start_time", "count")))
 
