@@ -11,8 +11,8 @@ def lenient_double(c: Column, default: float = 0.0) -> Column:
     return F.coalesce(c.try_cast("double"), F.lit(default))
 
 
-def lenient_int(c: Column, default: int = 0) -> Column:
-    return F.coalesce(c.try_cast("int"), F.lit(default))
+def lenient_long(c: Column, default: int = 0) -> Column:
+    return F.coalesce(c.try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
 def decimals_text(c: Column, places: int) -> Column:

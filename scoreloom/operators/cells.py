@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from scoreloom.functions.keys import key_part, key_parts
 from scoreloom.schemas import CELL_ID, CELLS, RATING_CELLS
 
+BROADCAST_KEYS = 10_000
+
 
 def _newest_first() -> Column:
     """Sorts the newest version of a cell first and equal versions by value."""
@@ -130,10 +132,12 @@ def first_rows(df: DataFrame, n: int) -> DataFrame:
 def first_keys_cells(cells: DataFrame, n: int) -> DataFrame:
     """Current cells of the first n keys; only those keys' cells are aggregated.
 
-    The key list has n rows by construction, hence the explicit broadcast.
+    The key list has n rows by construction, so a short one is broadcast by hint.
     """
     keys = cells.select("row_key").distinct().orderBy("row_key").limit(n)
-    return latest(cells.join(F.broadcast(keys), "row_key", "left_semi"))
+    if n <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return latest(cells.join(keys, "row_key", "left_semi"))
 
 
 def count_rows(cells: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ def _rounded(c: Column) -> Column:
 def item_stats(ratings: DataFrame, full: bool = True) -> DataFrame:
     """Largest, mean and smallest rating per item; `full` adds rater count and sum."""
     extra = [
-        F.count("user_id").cast("int").alias("rating_user_count"),
+        F.count("user_id").alias("rating_user_count"),
         _rounded(F.sum("rating")).alias("sum_rating"),
     ]
     return ratings.groupBy("item_id").agg(
@@ -110,7 +110,7 @@ def items_by_rating(
     if on == "rating":
         rated = rated.where(F.col("rating").between(low, high))
     means = rated.groupBy("item_id").agg(
-        F.avg("rating").alias("_mean"), F.count(F.lit(1)).cast("int").alias("rating_count")
+        F.avg("rating").alias("_mean"), F.count(F.lit(1)).alias("rating_count")
     )
     if on == "average":
         means = means.where(F.col("_mean").between(low, high))

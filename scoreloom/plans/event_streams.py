@@ -28,7 +28,7 @@ def _windows_sql(starts: list[str], where: str = "true") -> str:
     copies = " UNION ALL ".join(f"SELECT *, {start} AS w FROM {EVENTS}" for start in starts)
     return f"""
 SELECT {STAMP.format('w')} AS start_time, {STAMP.format("w + INTERVAL 10 MINUTE")} AS end_time,
-  name, CAST(count(user_id) AS INTEGER) AS count, round(avg(rating), 3) AS avg_rating
+  name, count(user_id) AS count, round(avg(rating), 3) AS avg_rating
 FROM (SELECT e.*, coalesce(i.title, '未知') AS name FROM ({copies}) e
   LEFT JOIN {LISTED} i ON i.item_id = e.item_id)
 WHERE {where} GROUP BY w, name"""

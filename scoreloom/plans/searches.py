@@ -146,7 +146,7 @@ def titles_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 HITS = f"(SELECT * FROM {ITEMS} WHERE contains(lower(title), 'gizmo'))"
-FIGURES = f"""(SELECT item_id, CAST(count(*) AS INTEGER) AS n,
+FIGURES = f"""(SELECT item_id, count(*) AS n,
   {two_decimals_sql('sum(rating)', 'count(*)')} AS mean FROM {KEYED} GROUP BY item_id)"""
 
 

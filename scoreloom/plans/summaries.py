@@ -44,7 +44,7 @@ SELECT i.item_id, i.title, i.genres, coalesce(s.n, 0) AS rating_user_count,
   coalesce(s.total, 0.0) AS sum_rating, coalesce(s.max_rating, 0.0) AS max_rating,
   coalesce(s.avg_rating, 0.0) AS avg_rating, coalesce(s.min_rating, 0.0) AS min_rating
 FROM {ITEMS} i LEFT JOIN (
-  SELECT item_id, CAST(count(user_id) AS INTEGER) AS n, round(sum(rating), 3) AS total,
+  SELECT item_id, count(user_id) AS n, round(sum(rating), 3) AS total,
     round(max(rating), 3) AS max_rating, round(avg(rating), 3) AS avg_rating,
     round(min(rating), 3) AS min_rating
   FROM {RATINGS} GROUP BY item_id) s ON s.item_id = i.item_id""")
@@ -134,7 +134,7 @@ SELECT r.item_id, CASE WHEN i.item_id IS NULL THEN 'Unknown' ELSE title END AS t
   CASE WHEN i.item_id IS NULL THEN 'Unknown' ELSE genres END AS genres,
   mean AS avg_rating, rating_count
 FROM (SELECT item_id, {two_decimals_sql('sum(rating)', 'count(*)')} AS mean,
-  CAST(count(*) AS INTEGER) AS rating_count FROM {ITEM_RATINGS} WHERE {where} GROUP BY item_id HAVING {having}) r
+  count(*) AS rating_count FROM {ITEM_RATINGS} WHERE {where} GROUP BY item_id HAVING {having}) r
 LEFT JOIN {LISTED} i ON i.item_id = r.item_id"""
 
 

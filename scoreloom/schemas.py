@@ -38,13 +38,14 @@ CELLS = T.StructType(
 )
 CELL_ID = ["row_key", "family", "qualifier"]
 
-# The windowed ranking as it is stored by the stream and read back.
+# The windowed ranking as it is stored by the stream and read back. Counts are 64-bit
+# here and everywhere: an int overflows, and fails the job, at 2.1 billion ratings.
 HOT_ITEMS = T.StructType(
     [
         T.StructField("start_time", T.StringType()),
         T.StructField("end_time", T.StringType()),
         T.StructField("name", T.StringType()),
-        T.StructField("count", T.IntegerType()),
+        T.StructField("count", T.LongType()),
         T.StructField("avg_rating", T.DoubleType()),
         T.StructField("update_time", T.StringType()),
     ]

@@ -7,20 +7,26 @@ from pyspark.sql import DataFrame, SparkSession
 from scoreloom import schemas
 
 
-def kafka_options(servers: str, topic: str, starting_offsets: str = "latest") -> dict[str, str]:
-    return {
+def kafka_options(
+    servers: str,
+    topic: str,
+    starting_offsets: str = "latest",
+    max_offsets_per_trigger: int | None = None,
+) -> dict[str, str]:
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
     }
+    if max_offsets_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return options
 
 
-def kafka_events(
-    spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest"
-) -> DataFrame:
+def kafka_events(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
     """Stream of a topic; needs Spark's Kafka connector on the class path."""
     reader = spark.readStream.format("kafka")
-    return reader.options(**kafka_options(servers, topic, starting_offsets)).load()
+    return reader.options(**kafka_options(servers, topic, **options)).load()
 
 
 def text_directory(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from scoreloom.functions.numbers import lenient_double, lenient_int
+from scoreloom.functions.numbers import lenient_double, lenient_long
 from scoreloom.functions.times import parse_time, time_text
 from scoreloom.operators.lookup import with_names
 from scoreloom.schemas import EVENT_JSON_DDL, UNKNOWN_NAME
@@ -66,7 +66,7 @@ def window_counts(
         grouped = with_names(events, names, default, salts).groupBy(span.alias("window"), "name")
         count, mean = F.count("user_id"), F.avg("rating")
     return grouped.agg(
-        count.cast("int").alias("count"), F.round(mean, 3).cast("double").alias("avg_rating")
+        count.alias("count"), F.round(mean, 3).cast("double").alias("avg_rating")
     ).select(
         time_text(F.col("window.start")).alias("start_time"),
         time_text(F.col("window.end")).alias("end_time"),
@@ -161,7 +161,7 @@ def read_hot_items(stored: DataFrame, n: int = TOP_N) -> DataFrame:
     A count or mean that is missing or not a number reads as zero.
     """
     return (
-        stored.withColumn("count", lenient_int(F.col("count").cast("string")))
+        stored.withColumn("count", lenient_long(F.col("count").cast("string")))
         .withColumn("avg_rating", lenient_double(F.col("avg_rating").cast("string")))
         .orderBy(F.desc_nulls_last("start_time"), F.desc("count"), "name")
         .limit(n)

@@ -17,7 +17,7 @@ from tests.oracle import connect, differences  # noqa: E402
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     spark = get_session(
-        master="local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8"
+        master="local[8]", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions="8"
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)

@@ -20,9 +20,11 @@ def spark(tmp_path_factory):
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="8",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
-        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+        spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")
+    if session.conf.get("spark.checkpoint.dir", None) is None:
+        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

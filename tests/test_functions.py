@@ -61,8 +61,8 @@ def test_key_parts(spark):
 def test_lenient_numbers(spark):
     for value, expected in [("4.5", 4.5), ("x", 0.0), ("", 0.0), (None, 0.0)]:
         assert one(spark, value, numbers.lenient_double) == expected
-    assert one(spark, "12", numbers.lenient_int) == 12
-    assert one(spark, "1.5x", numbers.lenient_int) == 0
+    assert one(spark, "12", numbers.lenient_long) == 12
+    assert one(spark, "1.5x", numbers.lenient_long) == 0
 
 
 def test_two_decimals_rounds_halves_up(spark):

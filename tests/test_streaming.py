@@ -133,7 +133,7 @@ def test_watermark_writes_each_closed_window_once(spark, items):
         hot.run_window_counts(
             stream, one_name_per_item(items), path, checkpoint, trigger=ALL_NOW
         ).awaitTermination()
-        read = spark.read.schema("start_time string, count int").parquet(path)
+        read = spark.read.schema("start_time string, count bigint").parquet(path)
         return sorted(rows(read.select("start_time", "count")))
 
     first = run([event(1, 1, 4.0, f"2025-12-08 {t}") for t in times])
@@ -181,6 +181,8 @@ def test_raw_events_keep_the_last_event_of_an_item(spark):
 
 
 def test_kafka_options():
+    bounded = sources.kafka_options("host:9092", "ratings", "earliest", 500)
+    assert bounded["startingOffsets"] == "earliest" and bounded["maxOffsetsPerTrigger"] == "500"
     assert sources.kafka_options("host:9092", "ratings") == {
         "kafka.bootstrap.servers": "host:9092",
         "subscribe": "ratings",
