@@ -21,7 +21,7 @@ def rating_key(user_id: Column, item_id: Column, event_time: Column | None = Non
 
 def key_parts(row_key: Column) -> Column:
     """The parts as an array; trailing empty parts are not parts."""
-    return F.split(F.regexp_replace(row_key, "_+$", ""), SEPARATOR)
+    return F.split(F.rtrim(row_key, F.lit(SEPARATOR)), SEPARATOR)
 
 
 def key_part(row_key: Column, position: int) -> Column:

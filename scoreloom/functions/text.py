@@ -6,9 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# fixed value: the characters that count as blank at the ends of a field
+BLANKS = "".join(chr(code) for code in range(0x21))
+
+
 def trim_field(c: Column) -> Column:
     """Strip spaces and control characters (U+0000 to U+0020) from both ends."""
-    return F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.trim(c, F.lit(BLANKS))
 
 
 def normalize_title(c: Column) -> Column:

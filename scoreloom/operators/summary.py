@@ -65,9 +65,10 @@ def rating_count(ratings: DataFrame) -> DataFrame:
 
 def distinct_users(ratings: DataFrame, approximate: bool = False) -> DataFrame:
     """Number of different raters; rows without a user count as one rater."""
-    user = F.coalesce(F.col("user_id").cast("string"), F.lit("null"))
-    count = F.approx_count_distinct(user) if approximate else F.count_distinct(user)
-    return ratings.agg(count.alias("user_count"))
+    user = F.col("user_id")
+    known = F.approx_count_distinct(user) if approximate else F.count_distinct(user)
+    unknown = F.coalesce(F.max(user.isNull().cast("bigint")), F.lit(0))
+    return ratings.agg((known + unknown).alias("user_count"))
 
 
 def catalog_stats(items: DataFrame, ratings: DataFrame) -> DataFrame:

@@ -79,7 +79,9 @@ def test_stars(spark):
 
 def test_times(spark):
     assert one(spark, "964982703", times.epoch_seconds_text) == "2000-07-30 18:45:03"
-    assert one(spark, "soon", times.epoch_seconds_text) == "—"
+    for odd in ("soon", "", None, "9" * 18, "9" * 40):
+        assert one(spark, odd, times.epoch_seconds_text) == "—"
+    assert one(spark, "9" * 18, times.epoch_millis_text) is None
     assert one(spark, 964982703000, times.epoch_millis_text, "long") == "2000-07-30 18:45:03"
     assert one(spark, "964982703000", times.either_time_text) == "2000-07-30 18:45:03"
     assert one(spark, "2000-07-30 18:45:03", times.either_time_text) == "2000-07-30 18:45:03"
