@@ -192,17 +192,21 @@ def micro_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 SELECT CAST(item_id AS VARCHAR) AS row_key, CAST(user_id AS VARCHAR) AS user_id,
   CAST(item_id AS VARCHAR) AS item_id, CAST(rating AS VARCHAR) AS rating,
-  CAST(timestamp AS VARCHAR) AS timestamp
+  CAST(timestamp * 1000 AS VARCHAR) AS timestamp
 FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY event_id DESC) AS age FROM {EVENTS})
 WHERE age = 1""")
 def raw_event_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event appended as cells of its item; the last event of each item."""
+    """Every event appended as cells of its item; the last event of each item.
+
+    Each event counts as written at its own second, so that the result is fixed.
+    """
     path = work_path(spark, "raw-events")
     raw_events.run_raw_events(
         _stream_of_events(spark, sf_dir),
         path,
         work_path(spark, "raw-events-state"),
         ALL_NOW,
+        written_at=F.timestamp_seconds("timestamp"),
         version=F.col("event_id"),
     ).awaitTermination()
     return wide(spark.read.schema(CELLS).parquet(path), RAW_EVENT_CELLS)

@@ -172,12 +172,19 @@ def test_raw_events_keep_the_last_event_of_an_item(spark):
     folder, path, checkpoint = (work_path(spark, x) for x in ("in", "raw", "state"))
     writers.write_lines(messages(spark, FIRST + LATE), folder)
     stream = hot.parse_events(sources.text_directory(spark, folder))
-    raw_events.run_raw_events(stream, path, checkpoint, ALL_NOW).awaitTermination()
+    raw_events.run_raw_events(
+        stream, path, checkpoint, ALL_NOW, written_at=F.timestamp_seconds(F.lit(7))
+    ).awaitTermination()
     stored = spark.read.schema(CELLS).parquet(path)
     assert {tuple(r) for r in cells.wide(stored, RAW_EVENT_CELLS).where("row_key = '1'").collect()} == {
-        ("1", "9", "1", "5.0", "1")
+        ("1", "9", "1", "5.0", "7000")
     }
     assert not stored.where("row_key is null").count()
+    now = raw_events.event_cells(hot.parse_events(messages(spark, FIRST[:1])))
+    written = now.where("qualifier = 'timestamp'").select(
+        (F.unix_millis(F.current_timestamp()) - F.col("value").cast("bigint")).alias("age")
+    )
+    assert 0 <= written.first()["age"] < 60_000
 
 
 def test_kafka_options():
