@@ -33,7 +33,8 @@ def with_names(
     `names` must have unique ids (see `one_name_per_item`). Works on batch and
     streaming facts. `salts` > 1 spreads each id over that many join keys; it is
     meant for streams, where adaptive execution cannot split a hot id and the
-    catalog is too large to broadcast.
+    catalog is too large to broadcast. The key is a hash of the whole fact, which a
+    retried task computes again alike.
     """
     keys = ["item_id"]
     # A listed item may have a NULL title, which is not the same as a missing item.

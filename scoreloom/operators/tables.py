@@ -71,7 +71,11 @@ def read_cells(spark: SparkSession, name: str) -> DataFrame:
 
 
 def rewrite_table(spark: SparkSession, name: str, cells: DataFrame) -> None:
-    """Replace the content of the table by `cells`, which may be derived from it."""
+    """Replace the content of the table by `cells`, which may be derived from it.
+
+    The successor is complete before the old table goes; a job that dies between the
+    two leaves the successor under its own name.
+    """
     families = table_property(spark, name, "families").split(",")
     max_versions = int(table_property(spark, name, "max_versions"))
     successor = f"{name}_{uuid.uuid4().hex[:12]}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.operators.cells import to_cells, wide
@@ -63,7 +63,7 @@ SELECT CAST(event_id + 2 AS VARCHAR) AS key, user_id, item_id, rating, timestamp
   {STAMP.format('event_time')} AS create_time FROM {EVENTS}""")
 def events_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages, with each JSON field looked up by its wire name."""
-    def field(name: str, kind: str) -> F.Column:
+    def field(name: str, kind: str) -> Column:
         return F.get_json_object("value", f"$.{name}").cast(kind)
 
     return _messages(spark, sf_dir).select(

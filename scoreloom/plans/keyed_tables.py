@@ -81,7 +81,7 @@ def rating_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT row_key, title, genres FROM {ITEMS}")
 def items_from_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cells.wide(views.summary_source_cells(spark, sf_dir), ITEM_CELLS)
+    return cells.wide(views.item_cells(spark, sf_dir), ITEM_CELLS)
 
 
 @query(f"""
@@ -90,7 +90,7 @@ SELECT row_key, 'info' AS family, qualifier, CAST(1 AS BIGINT) AS version, value
   UNION ALL SELECT row_key, 'genres', genres FROM {ITEMS})
 WHERE row_key IN (SELECT row_key FROM {ITEMS} ORDER BY row_key LIMIT 15)""")
 def first_keys_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cells.first_keys_cells(views.summary_source_cells(spark, sf_dir), 15)
+    return cells.first_keys_cells(views.item_cells(spark, sf_dir), 15)
 
 
 @query(f"""

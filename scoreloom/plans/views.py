@@ -93,7 +93,7 @@ def rating_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def summary_source_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+def item_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items as cells of the family `info`, all of version 1."""
     return to_cells(
         items(spark, sf_dir),
