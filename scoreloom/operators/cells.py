@@ -187,22 +187,24 @@ def ratings_by_schema_on_read(cells: DataFrame, family: str = "info") -> DataFra
     def exact(field: str) -> Column:
         return (F.col("family") == family) & (F.col("qualifier") == RATING_CELLS[field][1])
 
-    def resolved(field: str) -> Column:
+    def first_choice(field: str) -> Column:
         preference = F.struct(
-            (~exact(field)).alias("other"), "family", "qualifier", _newest_first().alias("age")
+            (~exact(field)).alias("other"), "family", "qualifier", _newest_first().alias("cell")
         )
-        return F.min_by("value", F.when(aliases[field], preference))
+        return F.min(F.when(aliases[field], preference)).alias(field)
 
-    rows = cells.groupBy("row_key").agg(
-        *[resolved(f).alias(f) for f in aliases],
-        *[F.max(exact(f)).alias(f"_has_{f}") for f in aliases],
-    )
+    chosen = cells.groupBy("row_key").agg(*[first_choice(field) for field in aliases])
     complete = F.lit(True)
     for field in aliases:
-        complete = complete & F.col(f"_has_{field}")
+        complete = complete & (F.col(f"{field}.other") == F.lit(False))
+    rows = chosen.select(
+        "row_key",
+        *[F.col(f"{field}.cell.value").alias(field) for field in aliases],
+        F.coalesce(complete, F.lit(False)).alias("_complete"),
+    )
     key = F.col("row_key")
     has_item_part = F.size(key_parts(key)) >= 2
-    no_time = F.col("timestamp").isNull() | (~complete & (F.col("timestamp") == ""))
+    no_time = F.col("timestamp").isNull() | (~F.col("_complete") & (F.col("timestamp") == ""))
     return rows.select(
         "row_key",
         F.coalesce("user_id", F.when(has_item_part, key_part(key, 0))).alias("user_id"),

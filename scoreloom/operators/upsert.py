@@ -31,13 +31,27 @@ def last_per_key(
 
 
 def upsert(
-    stored: DataFrame, load: DataFrame, keys: list[str], order_by: list[str]
+    stored: DataFrame,
+    load: DataFrame,
+    keys: list[str],
+    order_by: list[str],
+    large_load: bool = False,
 ) -> DataFrame:
     """`stored` with the rows of `load` added; a loaded key replaces the stored row.
 
-    Within one load the last row per key (by `order_by`) wins. `stored` is only
-    anti-joined: when the load's keys are small enough for Spark to broadcast,
-    the stored table is not shuffled at all.
+    Within one load the last row per key (by `order_by`) wins. By default `stored` is
+    only anti-joined: when the load's keys are small enough for Spark to broadcast,
+    the stored table is not shuffled at all, at the price of reading the load twice.
+    With `large_load`, a load of about the size of the table, one full join reads
+    each side once.
     """
     winners = last_per_key(load, keys, order_by).select(*stored.columns)
-    return stored.join(winners.select(*keys), keys, "left_anti").unionByName(winners)
+    if not large_load:
+        kept = stored.join(winners.select(*keys), keys, "left_anti")
+        return kept.unionByName(winners)
+
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*keys, F.struct(*df.columns).alias(name))
+
+    both = packed(stored, "_old").join(packed(winners, "_new"), keys, "full")
+    return both.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")

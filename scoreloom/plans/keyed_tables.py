@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.operators import cells, tables
-from scoreloom.operators.upsert import upsert
+from scoreloom.operators.upsert import last_per_key, upsert
 from scoreloom.plans import views
 from scoreloom.plans.registry import query
 from scoreloom.plans.searches import KEYED, keyed_ratings
@@ -45,7 +45,22 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = (rated.where(F.col("status") == s).drop("status") for s in ("F", "O"))
     empty = rated.drop("status").limit(0)
     stored = upsert(empty, old, ["row_key"], order)
-    return upsert(stored, new, ["row_key"], order)
+    return upsert(stored, new, ["row_key"], order, large_load=True)
+
+
+@query(f"""
+WITH last AS (SELECT row_key, max(timestamp) AS timestamp FROM {RATINGS} GROUP BY row_key)
+SELECT row_key, CASE WHEN row_key IN (SELECT user_id || '_' || item_id FROM {EVENTS})
+    THEN -1 ELSE timestamp END AS timestamp FROM last
+UNION SELECT user_id || '_' || item_id, -1 FROM {EVENTS}""")
+def upsert_small_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, which are few, replace or extend the ratings; all get the time -1."""
+    rated = views.ratings(spark, sf_dir).select("row_key", "timestamp")
+    stored = last_per_key(rated, ["row_key"], ["timestamp"])
+    load = views.events(spark, sf_dir).select(
+        F.concat_ws("_", "user_id", "item_id").alias("row_key"), F.lit(-1).cast("bigint").alias("timestamp")
+    )
+    return upsert(stored, load, ["row_key"], ["timestamp"])
 
 
 @query(f"SELECT {CELL}, CAST(age AS INTEGER) AS age FROM {VERSIONS} WHERE age <= 3")

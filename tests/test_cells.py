@@ -113,8 +113,9 @@ def test_upsert(spark):
         [("a", 1, "first"), ("a", 2, "last"), ("c", 1, "x"), ("c", 1, "y")],
         "k string, n int, v string",
     )
-    got = sorted(rows(upsert(stored, load, ["k"], ["n"])))
-    assert got == [("a", 2, "last"), ("b", 1, "kept"), ("c", 1, "y")]
+    for large_load in (False, True):
+        got = sorted(rows(upsert(stored, load, ["k"], ["n"], large_load)))
+        assert got == [("a", 2, "last"), ("b", 1, "kept"), ("c", 1, "y")]
     assert sorted(rows(last_per_key(load, ["k"], ["n"]))) == [("a", 2, "last"), ("c", 1, "y")]
 
 

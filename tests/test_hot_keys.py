@@ -83,7 +83,9 @@ def test_upsert(spark):
     load = [(f"k{7 if rng.random() < 1 / 3 else rng.randrange(800)}", n + 1) for n in range(5000)]
     old = spark.createDataFrame(list(stored.items()), "k string, n int")
     new = spark.createDataFrame(load, "k string, n int").repartition(16)
-    assert dict(rows(upsert(old, new, ["k"], ["n"]))) == {**stored, **dict(load)}
+    for large_load in (False, True):
+        got = rows(upsert(old, new, ["k"], ["n"], large_load))
+        assert dict(got) == {**stored, **dict(load)} and len(got) == len(dict(got))
 
 
 @pytest.fixture(scope="module")

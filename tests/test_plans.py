@@ -32,7 +32,7 @@ def no_broadcast(spark):
 # Queries that run a stream or write files while they are built.
 EAGER = {"hot_items_stream", "hot_topn_readback", "windowed_append", "micro_batch_counts",
          "raw_event_latest", "ingest_reconciliation", "ingest_items", "typed_csv_scan",
-         "rating_table_scan"}
+         "rating_table_scan", "search_with_ratings", "search_with_rating_rows"}
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER))
