@@ -11,6 +11,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -135,3 +136,34 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     shift = np.cumsum(lengths) - lengths
     return np.repeat(starts - shift, lengths) + np.arange(total)
+
+
+def pack(values: np.ndarray, dtype=None) -> bytes:
+    """Numbers as one compressed value, for arrays that only tasks of this package read."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values, dtype).tobytes())
+
+
+def unpack(value: bytes, dtype) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(value), dtype)
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Ascending 64-bit keys, as steps."""
+    return pack(np.diff(keys, prepend=_U(0)))
+
+
+def unpack_sorted(value: bytes) -> np.ndarray:
+    return np.cumsum(unpack(value, np.uint64), dtype=np.uint64)
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each key; ascending with the key."""
+    return (((keys >> _U(32)) * _U(buckets)) >> _U(32)).astype(np.int64)
+
+
+def bucket_ranges(keys: np.ndarray, buckets: int):
+    """(bucket, slice) for the buckets that these ascending keys fall into."""
+    own = bucket_of(keys, buckets)
+    cuts = np.flatnonzero(np.diff(own, prepend=-1)) if len(own) else np.zeros(0, np.int64)
+    for start, end in zip(cuts, np.append(cuts[1:], len(own))):
+        yield int(own[start]), slice(int(start), int(end))

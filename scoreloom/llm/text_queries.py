@@ -8,8 +8,10 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
-from scoreloom.llm import bpe
+from scoreloom.llm import bpe, lm
 from scoreloom.llm.registry import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -39,3 +41,18 @@ def op1_byte_bpe(spark, sf_dir):
     return bpe.decode(encoded, RANKS).mapInArrow(
         bpe_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
+
+
+def fold(column: str, folds: int) -> Column:
+    """crc32 of the id as text, modulo; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds
+
+
+@query()
+def op5_interpolated_lm(spark, sf_dir):
+    """Every document scored by a model of the documents of the other six folds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scores = lm.score_texts(docs, fold("doc_id", 7) != 2, fold("doc_id", 7) == 3)
+    return scores.select(
+        "doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
