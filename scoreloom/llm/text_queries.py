@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scoreloom.llm import bpe, lm
+from scoreloom.llm import bpe, jaccard, lm
 from scoreloom.llm.registry import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -56,3 +56,9 @@ def op5_interpolated_lm(spark, sf_dir):
     return scores.select(
         "doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query()
+def op9_partenum_join(spark, sf_dir):
+    """Near-duplicate classes of all documents."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
