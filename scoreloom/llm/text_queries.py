@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scoreloom.llm import bpe, jaccard, lm
+from scoreloom.llm import bpe, jaccard, lm, repeats
 from scoreloom.llm.registry import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -62,3 +62,11 @@ def op5_interpolated_lm(spark, sf_dir):
 def op9_partenum_join(spark, sf_dir):
     """Near-duplicate classes of all documents."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_induced_dedup(spark, sf_dir):
+    """Every document without the bytes of 200-byte strings that stand elsewhere as well."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
