@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scoreloom.llm import bpe, jaccard, lm, repeats
+from scoreloom.llm import bpe, jaccard, lm, repeats, tiling
 from scoreloom.llm.registry import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -70,3 +70,9 @@ def op7_induced_dedup(spark, sf_dir):
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query()
+def op4_string_tiling(spark, sf_dir):
+    """Pairs of a document and the benchmark item whose tokens it covers by half or more."""
+    return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
