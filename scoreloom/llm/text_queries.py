@@ -11,8 +11,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scoreloom.llm import bpe, jaccard, lm, repeats, tiling
+from scoreloom.llm import bpe, jaccard, lm, repeats, tiling, warc
 from scoreloom.llm.registry import query, table
+from scoreloom.session import work_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -76,3 +77,13 @@ def op7_induced_dedup(spark, sf_dir):
 def op4_string_tiling(spark, sf_dir):
     """Pairs of a document and the benchmark item whose tokens it covers by half or more."""
     return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op2_warc(spark, sf_dir):
+    """All pages written as archives in the shared folder, then read back."""
+    folder = work_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), folder, least_bytes=0)
+    return warc.read_archive(spark, folder, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
