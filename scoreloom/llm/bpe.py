@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections import defaultdict
 from functools import lru_cache
 from itertools import count
@@ -37,8 +38,9 @@ from pyspark.sql import DataFrame
 
 from scoreloom.llm import packed
 
-BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 32 << 20
+BLOCK_BYTES = 6 << 20
+BUCKET_BYTES = 8 << 20
+DECODE_IDS = 1 << 19
 NO_RANK = 1 << 62
 
 
@@ -110,12 +112,12 @@ def _encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 _SPLIT = pa.schema([
-    ("block", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("seq", pa.binary()),
+    ("block", pa.int64()), ("bucket", pa.int32()), ("docs", pa.list_(pa.int64())), ("sizes", pa.binary()), ("seq", pa.binary()),
     ("numbers", pa.binary()), ("lengths", pa.binary()), ("words", pa.binary()),
 ])
-_SPLIT_SQL = "block long, bucket int, doc_id long, seq binary, numbers binary, lengths binary, words binary"
-_ASKED_SQL = "block long, bucket int, numbers binary, lengths binary, words binary"
-_CODED_SQL = "block long, numbers binary, lengths binary, ids binary"
+_SPLIT_SQL = "block long, bucket int, docs array<long>, sizes binary, seq binary, numbers binary, lengths binary, words binary"
+_ASKED_SQL = "block long, bucket int, lengths binary, words binary"
+_CODED_SQL = "block long, bucket int, lengths binary, ids binary"
 
 
 def _splitter(pattern: str, buckets: int):
@@ -130,24 +132,21 @@ def _splitter(pattern: str, buckets: int):
             order = np.argsort(-seen, kind="stable")
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
-            item = np.uint16 if len(order) < 1 << 16 else np.uint32
-            tag = b"2" if item is np.uint16 else b"4"
-            n = rows.num_rows
+            seq = rank[np.concatenate(seqs)].astype(np.uint16 if len(order) < 1 << 16 else np.uint32)
             yield pa.record_batch([
-                pa.array(np.full(n, block)), pa.nulls(n, pa.int32()), rows.column("doc_id"),
-                pa.array([tag + pack(rank[s].astype(item).tobytes()) for s in seqs], pa.binary()),
-                *[pa.nulls(n, pa.binary())] * 3,
+                pa.array([block]), pa.nulls(1, pa.int32()), pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                pa.array([packed.pack([len(x) for x in seqs], np.uint32)]), pa.array([bytes([seq.itemsize]) + packed.pack(seq)]),
+                *[pa.nulls(1, pa.binary())] * 3,
             ], schema=_SPLIT)
-            words = [w.encode() for w in numbers]
             asked = defaultdict(list)
-            for i, w in enumerate(words):
-                asked[zlib.crc32(w) % buckets].append(i)
+            for word, i in sorted((w.encode(), i) for w, i in numbers.items()):  # sorted words compress better
+                asked[zlib.crc32(word) % buckets].append((word, i))
             m = len(asked)
             yield pa.record_batch([
-                pa.array(np.full(m, block)), pa.array(list(asked), pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()),
-                pa.array([rank[x].tobytes() for x in asked.values()], pa.binary()),
-                pa.array([np.array([len(words[i]) for i in x], np.uint32).tobytes() for x in asked.values()], pa.binary()),
-                pa.array([b"".join([words[i] for i in x]) for x in asked.values()], pa.binary()),
+                pa.array(np.full(m, block)), pa.array(list(asked), pa.int32()), pa.nulls(m, pa.list_(pa.int64())), *[pa.nulls(m, pa.binary())] * 2,
+                pa.array([packed.pack(rank[[i for _, i in x]]) for x in asked.values()], pa.binary()),
+                pa.array([packed.pack([len(w) for w, _ in x], np.uint32) for x in asked.values()], pa.binary()),
+                pa.array([pack(b"".join([w for w, _ in x])) for x in asked.values()], pa.binary()),
             ], schema=_SPLIT)
 
     return split
@@ -157,27 +156,28 @@ def _messages(batches):
     """The words that blocks ask for, without the texts."""
     for batch in batches:
         batch = batch.filter(pc.is_valid(batch.column("bucket")))
-        yield batch.select(["block", "bucket", "numbers", "lengths", "words"])
+        yield batch.select(["block", "bucket", "lengths", "words"])
 
 
 def _encoder(path: str):
     def encode_bucket(table: pa.Table) -> pa.Table:
         ranks, known = load_ranks(path), {}
+        unpack = zstandard.ZstdDecompressor().decompress
         lengths_out, ids_out = [], []
         for lengths, words in zip(table.column("lengths").to_pylist(), table.column("words").to_pylist()):
-            at, counts, ids = 0, [], []
-            for n in np.frombuffer(lengths, np.uint32).tolist():
+            at, counts, ids, words = 0, [], [], unpack(words)
+            for n in packed.unpack(lengths, np.uint32).tolist():
                 word = words[at : at + n]
                 at += n
                 found = known.get(word)
                 if found is None:
-                    found = known[word] = encode_word(word, ranks)
-                counts.append(len(found))
-                ids += found
-            lengths_out.append(np.array(counts, np.uint32).tobytes())
-            ids_out.append(np.array(ids, np.uint32).tobytes())
+                    found = known[word] = array("I", encode_word(word, ranks)).tobytes()
+                counts.append(len(found) // 4)
+                ids.append(found)
+            lengths_out.append(packed.pack(counts, np.uint32))
+            ids_out.append(packed.pack(np.frombuffer(b"".join(ids), np.uint32)))
         return pa.table({
-            "block": table.column("block"), "numbers": table.column("numbers"),
+            "block": table.column("block"), "bucket": table.column("bucket"),
             "lengths": pa.array(lengths_out, pa.binary()), "ids": pa.array(ids_out, pa.binary()),
         })
 
@@ -185,23 +185,22 @@ def _encoder(path: str):
 
 
 def _assemble(texts: pa.Table, coded: pa.Table) -> pa.Table:
-    texts = texts.filter(pc.is_valid(texts.column("seq")))
-    join = lambda name: np.frombuffer(b"".join(coded.column(name).to_pylist()), np.uint32).astype(np.int64)
-    numbers, lengths, flat = join("numbers"), join("lengths"), join("ids")
+    def joined(rows: pa.Table, name: str) -> np.ndarray:
+        values = [packed.unpack(x, np.uint32) for x in rows.sort_by("bucket").column(name).to_pylist()]
+        return np.concatenate([np.zeros(0, np.uint32), *values]).astype(np.int64)
+
+    numbers = joined(texts.filter(pc.is_valid(texts.column("bucket"))), "numbers")
+    lengths, flat = joined(coded, "lengths"), joined(coded, "ids")
+    (own,) = texts.filter(pc.is_valid(texts.column("seq"))).to_pylist()
     starts = np.cumsum(lengths) - lengths
     length, start = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
     length[numbers], start[numbers] = lengths, starts
-    unpack = zstandard.ZstdDecompressor().decompress
-    out, sizes = [], []
-    for seq in texts.column("seq").to_pylist():
-        words = np.frombuffer(unpack(seq[1:]), np.uint16 if seq[:1] == b"2" else np.uint32)
-        ids = flat[packed.ragged(start[words], length[words])].astype(np.int32)
-        out.append(ids)
-        sizes.append(len(ids))
-    ids = pa.ListArray.from_arrays(
-        pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(np.concatenate(out) if out else np.zeros(0, np.int32), pa.int32())
-    )
-    return pa.table({"doc_id": texts.column("doc_id"), "ids": ids})
+    words = packed.unpack(own["seq"][1:], np.uint16 if own["seq"][0] == 2 else np.uint32)
+    ids = flat[packed.ragged(start[words], length[words])].astype(np.int32)
+    ends = np.concatenate([[0], np.cumsum(length[words])])[np.concatenate([[0], np.cumsum(packed.unpack(own["sizes"], np.uint32), dtype=np.int64)])]
+    return pa.table({
+        "doc_id": pa.array(own["docs"], pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
+    })
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -216,23 +215,25 @@ def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
     return split.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_assemble, "doc_id long, ids array<int>")
 
 
-def _decoder(path: str, ids: str):
+def decoder(path: str, ids: str = "ids"):
+    """The function of `decode`, from batches with `ids` to batches with `decoded` as well."""
     def decode_batches(batches):
         table, starts = token_table(path)
         lengths = np.append(np.diff(starts), 0)
         for batch in batches:
-            column = batch.column(ids)
-            flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            flat[(flat < 0) | (flat >= len(lengths) - 1)] = len(lengths) - 1  # outside: no bytes
-            n = lengths[flat]
-            data = table[packed.ragged(starts[flat], n)]
-            sizes = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
-            ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(sizes)])]
-            # Offsets of a batch stay below 2 GB, as its ids do.
-            decoded = pa.Array.from_buffers(
-                pa.binary(), len(column), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]
-            )
-            yield pa.record_batch([*batch.columns, decoded], names=[*batch.schema.names, "decoded"])
+            sizes = pc.list_value_length(batch.column(ids)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for rows in packed.slices(batch, sizes, DECODE_IDS):
+                column = rows.column(ids)
+                flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                flat[(flat < 0) | (flat >= len(lengths) - 1)] = len(lengths) - 1  # outside: no bytes
+                n = lengths[flat]
+                data = table[packed.ragged(starts[flat], n)]
+                sizes = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+                ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(sizes)])]
+                decoded = pa.Array.from_buffers(
+                    pa.binary(), len(column), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]
+                )
+                yield pa.record_batch([*rows.columns, decoded], names=[*rows.schema.names, "decoded"])
 
     return decode_batches
 
@@ -240,4 +241,4 @@ def _decoder(path: str, ids: str):
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """Adds `decoded`, the bytes that the ids stand for."""
     schema = encoded.drop("decoded").schema.add("decoded", "binary")
-    return encoded.drop("decoded").mapInArrow(_decoder(path, ids), schema)
+    return encoded.drop("decoded").mapInArrow(decoder(path, ids), schema)

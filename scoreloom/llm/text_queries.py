@@ -20,8 +20,8 @@ PATTERN = public_tokenizers.PATTERN
 
 
 def bpe_digests(batches):
-    """Digests of the ids and of the decoded bytes."""
-    for batch in batches:
+    """Digests of the ids and of the bytes that they decode to, in one pass."""
+    for batch in bpe.decoder(RANKS)(batches):
         ids = batch.column("ids")
         flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
         sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
@@ -39,7 +39,7 @@ def bpe_digests(batches):
 def op1_byte_bpe(spark, sf_dir):
     """Every document encoded, then decoded from its ids."""
     encoded = bpe.encode(table(spark, sf_dir, "documents"), RANKS, PATTERN)
-    return bpe.decode(encoded, RANKS).mapInArrow(
+    return encoded.mapInArrow(
         bpe_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
 
