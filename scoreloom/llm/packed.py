@@ -21,6 +21,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _U = np.uint64
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def text_size(docs: DataFrame, text: str = "text") -> int:
@@ -33,6 +34,21 @@ def parts(size: int, each: int, least: int = 12) -> int:
     return max(least, -(-size // each))
 
 
+def staged(frame: DataFrame, path: str) -> DataFrame:
+    """Writes a table to the shared folder and reads it back.
+
+    The shuffles that made it are dropped once it is written, as nothing reads them again.
+    """
+    spark = frame.sparkSession
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.parquet(path)
+
+
 def blocks(batches, text: str, limit: int):
     """(block id, rows) with at most `limit` bytes of text, or one longer text.
 

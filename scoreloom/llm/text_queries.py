@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scoreloom.llm import bpe, jaccard, lm, repeats, tiling, warc
+from scoreloom.llm import bpe, jaccard, lm, repeats, tiling, toxicity, warc
 from scoreloom.llm.registry import query, table
 from scoreloom.session import work_path
 
@@ -87,3 +87,15 @@ def op2_warc(spark, sf_dir):
     return warc.read_archive(spark, folder, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query()
+def op6_toxicity(spark, sf_dir):
+    """Every document scored by models of the labelled documents outside fold 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.learn(docs, labels, fold("doc_id", 5) != 0)
+    scores = toxicity.score_texts(docs, model)
+    return scores.select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
