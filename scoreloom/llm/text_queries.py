@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scoreloom.llm import bpe, jaccard, lm, repeats, tiling, toxicity, warc
+from scoreloom.llm import bpe, jaccard, langid, lm, repeats, tiling, toxicity, warc
 from scoreloom.llm.registry import query, table
 from scoreloom.session import work_path
 
@@ -99,3 +99,10 @@ def op6_toxicity(spark, sf_dir):
     return scores.select(
         "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query()
+def op8_language_id(spark, sf_dir):
+    """The language of every document; `kept` is false where none is likely enough."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return langid.identify(docs).select(F.col("row.doc_id").alias("doc_id"), "language", "posterior", "fit", "kept")
