@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from scoreloom.llm import packed
 from scoreloom.session import work_path
 
-BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 32 << 20
+BLOCK_BYTES = 3 << 20
+BUCKET_BYTES = 8 << 20
 END, BEGIN = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 MAX_BUCKET = 40
 STEPS = 12
@@ -313,7 +313,6 @@ def score_texts(
 ) -> DataFrame:
     """Log10 probability of each text. `train` marks the rows to learn from, `held` the
     part of them whose counts are deleted to learn the weights."""
-    spark = docs.sparkSession
     plain = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"), train.alias("train"), held.alias("held")
     )
@@ -321,15 +320,13 @@ def score_texts(
     buckets = packed.parts(size, BUCKET_BYTES)
     split = plain.mapInArrow(_split(buckets), _BLOCK).repartition(buckets, "block")
     sums = split.mapInArrow(_words_asked, _ASK).groupBy("bucket").applyInArrow(_sum_words, _SUMS)
-    path = work_path(spark, "lm")
-    split.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(_meet_words, _COUNTED).write.parquet(f"{path}/counted")
-    counted = spark.read.parquet(f"{path}/counted")
+    path = work_path(docs.sparkSession, "lm")
+    counted = split.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(_meet_words, _COUNTED)
+    counted = packed.staged(counted, f"{path}/counted")
     total, n_held, kinds = counted.agg(F.sum("n_tokens"), F.sum("n_held_tokens"), F.sum("new")).first()
     total, n_held, kinds = total or 0, n_held or 0, kinds or 0
-    counted.mapInArrow(_pairs_asked(buckets), _ASK_PAIRS).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
-        _sum_pairs, _FOUND
-    ).write.parquet(f"{path}/found")
-    found = spark.read.parquet(f"{path}/found")
+    asked = counted.mapInArrow(_pairs_asked(buckets), _ASK_PAIRS).repartition(buckets, "bucket")
+    found = packed.staged(asked.groupBy("bucket").applyInArrow(_sum_pairs, _FOUND), f"{path}/found")
     weights = learn_weights(found, total - n_held, kinds, steps)
     schema = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     back = found.select("block", "bucket", "at", "counts")
