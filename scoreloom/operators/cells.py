@@ -75,15 +75,16 @@ def latest(cells: DataFrame, keys: DataFrame | None = None) -> DataFrame:
 def newest_versions(cells: DataFrame, k: int = 3) -> DataFrame:
     """Up to k versions of every cell, `age` 1 being the newest.
 
-    Copies of one version collapse first. The `row_number() <= k` filter then runs
-    before the shuffle as well (a window group limit), so a cell that holds most of
-    the table sends k rows per partition.
+    The `dense_rank() <= k` filter runs before the only shuffle as well (a window group
+    limit), so a cell that holds most of the table sends k versions per partition.
+    Copies of one version then collapse on the same partitioning.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    distinct = cells.groupBy(*CELL_ID, "version").agg(F.min("value").alias("value"))
     by_age = Window.partitionBy(*CELL_ID).orderBy(F.desc("version"))
-    return distinct.withColumn("age", F.row_number().over(by_age)).where(F.col("age") <= k)
+    newest = cells.withColumn("age", F.dense_rank().over(by_age)).where(F.col("age") <= k)
+    kept = newest.groupBy(*CELL_ID, "version", "age").agg(F.min("value").alias("value"))
+    return kept.select(*CELL_ID, "version", "value", "age")
 
 
 def oldest_of_newest(cells: DataFrame, k: int = 5) -> DataFrame:

@@ -16,7 +16,12 @@ from scoreloom.schemas import UNKNOWN_FIELD, UNKNOWN_NAME
 
 
 def one_name_per_item(items: DataFrame, order_by: list[str] | None = None) -> DataFrame:
-    """(item_id, name) with unique ids; of repeated ids the last in `order_by` stays."""
+    """(item_id, name) with unique ids; of repeated ids the last in `order_by` stays.
+
+    Without it, the last in the file stays, if the items carry their `load_order`.
+    """
+    if order_by is None and "load_order" in items.columns:
+        order_by = ["load_order"]
     named = items.where(F.col("item_id").isNotNull())
     names = last_per_key(named, ["item_id"], order_by or [], keep=["title"])
     return names.withColumnRenamed("title", "name")

@@ -10,7 +10,7 @@ from scoreloom.operators.lookup import one_name_per_item
 from scoreloom.operators.reports import read_hot_item_cells
 from scoreloom.plans import views
 from scoreloom.plans.registry import query
-from scoreloom.plans.views import EVENTS, LISTED
+from scoreloom.plans.views import EVENTS, ITEMS
 from scoreloom.schemas import CELLS, HOT_ITEM_CELLS, HOT_ITEMS, RAW_EVENT_CELLS
 from scoreloom.session import work_path
 from scoreloom.sinks import writers
@@ -30,7 +30,7 @@ def _windows_sql(starts: list[str], where: str = "true") -> str:
 SELECT {STAMP.format('w')} AS start_time, {STAMP.format("w + INTERVAL 10 MINUTE")} AS end_time,
   name, count(user_id) AS count, round(avg(rating), 3) AS avg_rating
 FROM (SELECT e.*, coalesce(i.title, '未知') AS name FROM ({copies}) e
-  LEFT JOIN {LISTED} i ON i.item_id = e.item_id)
+  LEFT JOIN {ITEMS} i ON i.item_id = e.item_id)
 WHERE {where} GROUP BY w, name"""
 
 
@@ -43,7 +43,7 @@ TOP = " ORDER BY start_time DESC, end_time DESC, count DESC, name LIMIT 10"
 
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return one_name_per_item(views.listed_items(spark, sf_dir))
+    return one_name_per_item(views.items(spark, sf_dir))
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +77,7 @@ def events_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT CAST(user_id AS INTEGER) AS user_id, CAST(item_id AS INTEGER) AS item_id, rating, timestamp,
+SELECT user_id, item_id, rating, timestamp,
   {STAMP.format('event_time')} AS create_time,
   {STAMP.format("date_trunc('second', event_time)")} AS event_time FROM {EVENTS}""")
 def events_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +131,7 @@ def _stored_hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         work_path(spark, "hot-items-state"),
         ALL_NOW,
     ).awaitTermination()
-    return spark.read.schema(HOT_ITEMS).parquet(snapshot)
+    return writers.read_snapshot(spark, snapshot, HOT_ITEMS)
 
 
 @query(_windows_sql(TUMBLING) + TOP)

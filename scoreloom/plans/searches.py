@@ -71,7 +71,7 @@ def ratings_by_item(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""SELECT {RATING_COLUMNS} FROM {RATINGS}
-WHERE regexp_matches(row_key, '.*_{ITEM}(?:_.*)?$')""")
+WHERE list_contains(string_split(row_key, '_')[2:], '{ITEM}')""")
 def ratings_by_key_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ratings(spark, sf_dir).where(search.key_mentions(ITEM))
 
@@ -103,7 +103,7 @@ def fallback_lookup_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH ranked AS (SELECT *, CASE WHEN regexp_matches(row_key, '.*_{ITEM}(?:_.*)?$') THEN 0
+WITH ranked AS (SELECT *, CASE WHEN list_contains(string_split(row_key, '_')[2:], '{ITEM}') THEN 0
   WHEN CAST(item_id AS VARCHAR) = '{ITEM}' THEN 1
   WHEN split_part(row_key, '_', 2) = '{ITEM}' THEN 2 END AS match FROM {RATINGS})
 SELECT {RATING_COLUMNS} FROM ranked WHERE match = (SELECT min(match) FROM ranked)""")

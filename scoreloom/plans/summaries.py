@@ -13,7 +13,7 @@ from scoreloom.operators.lookup import one_name_per_item, with_names
 from scoreloom.operators.reports import read_summary, read_summary_of
 from scoreloom.plans import views
 from scoreloom.plans.registry import query
-from scoreloom.plans.views import EVENTS, ITEM_RATINGS, ITEMS, LISTED, RATINGS, two_decimals_sql
+from scoreloom.plans.views import EVENTS, ITEM_RATINGS, ITEMS, RATINGS, STRAY_RATINGS, two_decimals_sql
 from scoreloom.sinks.writers import summary_cells
 
 WRITE_TIME = "2024-02-01 12:00:00"
@@ -134,22 +134,22 @@ SELECT r.item_id, CASE WHEN i.item_id IS NULL THEN 'Unknown' ELSE title END AS t
   CASE WHEN i.item_id IS NULL THEN 'Unknown' ELSE genres END AS genres,
   mean AS avg_rating, rating_count
 FROM (SELECT item_id, {two_decimals_sql('sum(rating)', 'count(*)')} AS mean,
-  count(*) AS rating_count FROM {ITEM_RATINGS} WHERE {where} GROUP BY item_id HAVING {having}) r
-LEFT JOIN {LISTED} i ON i.item_id = r.item_id"""
+  count(*) AS rating_count FROM {STRAY_RATINGS} WHERE {where} GROUP BY item_id HAVING {having}) r
+LEFT JOIN {ITEMS} i ON i.item_id = r.item_id"""
 
 
 @query(_by_rating_sql("rating BETWEEN 2.0 AND 4.0", "true"))
 def items_by_rating_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.items_by_rating(
-        views.listed_items(spark, sf_dir), views.item_ratings(spark, sf_dir), 2.0, 4.0
+        views.items(spark, sf_dir), views.stray_ratings(spark, sf_dir), 2.0, 4.0
     )
 
 
 @query(_by_rating_sql("true", "avg(rating) BETWEEN 2.5 AND 3.0"))
 def items_by_avg_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.items_by_rating(
-        views.listed_items(spark, sf_dir),
-        views.item_ratings(spark, sf_dir),
+        views.items(spark, sf_dir),
+        views.stray_ratings(spark, sf_dir),
         2.5,
         3.0,
         on="average",
@@ -199,7 +199,7 @@ def rating_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT e.event_id, coalesce(i.title, '未知') AS name
-FROM {EVENTS} e LEFT JOIN {LISTED} i ON i.item_id = e.item_id""")
+FROM {EVENTS} e LEFT JOIN {ITEMS} i ON i.item_id = e.item_id""")
 def event_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = one_name_per_item(views.listed_items(spark, sf_dir))
+    names = one_name_per_item(views.items(spark, sf_dir))
     return with_names(views.events(spark, sf_dir), names).select("event_id", "name")

@@ -2,8 +2,8 @@
 
 Each view exists twice: as a DataFrame, and as a SQL expression for the oracle.
 
-* items: parts. `listed` items leave one part type out, so that facts about the
-  others meet a catalog that does not know them.
+* items: parts, all of them. Facts of one kind (`error` events, and in `stray_ratings`
+  returned line items) name the negated id, which the catalog does not know.
 * ratings: every line item rates its part on the half-star scale 0.5 to 5.0; the
   rater is the customer of the order. Half stars are exact in binary, so sums and
   means do not depend on the order in which partitions are added up.
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from scoreloom.functions.keys import rating_key
 from scoreloom.operators.cells import to_cells
 
-UNLISTED_TYPE = "PROMO"
+STRAY_EVENT, STRAY_FLAG = "error", "R"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,10 +37,6 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def listed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items(spark, sf_dir).where(F.col("kind") != UNLISTED_TYPE)
-
-
 def _half_stars(tenths_of_scale):
     return F.ceil(tenths_of_scale) * F.lit(0.5)
 
@@ -59,6 +55,12 @@ def item_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stray_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`item_ratings`, some of them of items that are in no catalog."""
+    item = F.when(F.col("flag") == STRAY_FLAG, -F.col("item_id")).otherwise(F.col("item_id"))
+    return item_ratings(spark, sf_dir).withColumn("item_id", item)
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id")
@@ -74,6 +76,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_of(raw: DataFrame) -> DataFrame:
     """The events view over a batch or streaming frame of the raw table."""
     item = F.get_json_object("props", "$.k").try_cast("bigint")
+    item = F.when(F.col("event_type") == STRAY_EVENT, -item).otherwise(item)
     return raw.select(
         "event_id",
         "user_id",
@@ -107,13 +110,15 @@ def item_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ITEMS = """(SELECT CAST(p_partkey AS VARCHAR) AS row_key, p_partkey AS item_id, p_name AS title,
   p_type || '|' || p_brand AS genres, p_type AS kind FROM part)"""
-LISTED = f"(SELECT * FROM {ITEMS} WHERE kind <> '{UNLISTED_TYPE}')"
 ITEM_RATINGS = """(SELECT l_partkey AS item_id, ceil(l_quantity / 5) * 0.5::DOUBLE AS rating,
   CAST(epoch(l_shipdate) AS BIGINT) AS timestamp, l_returnflag AS flag, l_linestatus AS status,
   l_orderkey AS order_id, l_linenumber AS line_no, l_suppkey AS shop_id FROM lineitem)"""
+STRAY_RATINGS = f"""(SELECT * REPLACE (CASE WHEN flag = '{STRAY_FLAG}' THEN -item_id ELSE item_id END AS item_id)
+  FROM {ITEM_RATINGS})"""
 RATINGS = f"""(SELECT r.*, o_custkey AS user_id, o_custkey || '_' || item_id AS row_key
   FROM {ITEM_RATINGS} r JOIN orders ON order_id = o_orderkey)"""
-EVENTS = """(SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
+EVENTS = f"""(SELECT event_id, user_id, CASE WHEN event_type = '{STRAY_EVENT}' THEN -1 ELSE 1 END
+  * CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
   least(ceil(value / 10) * 0.5::DOUBLE, 5.0::DOUBLE) AS rating,
   CAST(floor(epoch(ts)) AS BIGINT) AS timestamp, ts AS event_time, event_type AS kind FROM events)"""
 RATING_CELLS = f"""(SELECT CAST(item_id AS VARCHAR) AS row_key, 'rateinfo' AS family,

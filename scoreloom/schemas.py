@@ -9,12 +9,12 @@ from pyspark.sql import types as T
 ITEM_FILE_FIELDS = ["movieId", "title", "genres"]
 RATING_FILE_FIELDS = ["userId", "movieId", "rating", "timestamp"]
 
-ITEM_FILE_DDL = "movieId INT, title STRING, genres STRING"
+ITEM_FILE_DDL = "movieId BIGINT, title STRING, genres STRING"
 # Wider than the file on purpose: the column that is not there reads as NULL.
-ITEM_FILE_WIDE_DDL = "movieId INT, title STRING, genres STRING, timestamp BIGINT"
-RATING_FILE_DDL = "userId INT, movieId INT, rating DOUBLE, timestamp BIGINT"
+ITEM_FILE_WIDE_DDL = "movieId BIGINT, title STRING, genres STRING, timestamp BIGINT"
+RATING_FILE_DDL = "userId BIGINT, movieId BIGINT, rating DOUBLE, timestamp BIGINT"
 EVENT_JSON_DDL = (
-    "userId INT, movieId INT, rating DOUBLE, timestamp BIGINT, createTime STRING"
+    "userId BIGINT, movieId BIGINT, rating DOUBLE, timestamp BIGINT, createTime STRING"
 )
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -23,35 +23,7 @@ UNKNOWN_FIELD = "Unknown"
 NO_AVERAGE = "N/A"
 NO_TIME = "—"
 
-# --- in-memory frames ---------------------------------------------------------
-
-# One row per stored value of a wide-column table. `version` orders the values
-# of one (row_key, family, qualifier); the largest version is the current one.
-CELLS = T.StructType(
-    [
-        T.StructField("row_key", T.StringType()),
-        T.StructField("family", T.StringType()),
-        T.StructField("qualifier", T.StringType()),
-        T.StructField("version", T.LongType()),
-        T.StructField("value", T.StringType()),
-    ]
-)
-CELL_ID = ["row_key", "family", "qualifier"]
-
-# The windowed ranking as it is stored by the stream and read back. Counts are 64-bit
-# here and everywhere: an int overflows, and fails the job, at 2.1 billion ratings.
-HOT_ITEMS = T.StructType(
-    [
-        T.StructField("start_time", T.StringType()),
-        T.StructField("end_time", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("count", T.LongType()),
-        T.StructField("avg_rating", T.DoubleType()),
-        T.StructField("update_time", T.StringType()),
-    ]
-)
-
-# Where the item columns live in the wide-column tables: alias -> (family, qualifier)
+# Where columns live in the wide-column tables: alias -> (family, qualifier)
 ITEM_CELLS = {"title": ("info", "title"), "genres": ("info", "genres")}
 RATING_CELLS = {
     "user_id": ("info", "userId"),
@@ -82,3 +54,31 @@ HOT_ITEM_CELLS = {
     "avg_rating": ("rateinfo", "avgRating"),
     "update_time": ("rateinfo", "updateTime"),
 }
+
+# --- in-memory frames ---------------------------------------------------------
+
+# One row per stored value of a wide-column table. `version` orders the values
+# of one (row_key, family, qualifier); the largest version is the current one.
+CELLS = T.StructType(
+    [
+        T.StructField("row_key", T.StringType()),
+        T.StructField("family", T.StringType()),
+        T.StructField("qualifier", T.StringType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("value", T.StringType()),
+    ]
+)
+CELL_ID = ["row_key", "family", "qualifier"]
+
+# The windowed ranking as it is stored by the stream and read back. Counts are 64-bit
+# here and everywhere: an int overflows, and fails the job, at 2.1 billion ratings.
+HOT_ITEMS = T.StructType(
+    [
+        T.StructField("start_time", T.StringType()),
+        T.StructField("end_time", T.StringType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("count", T.LongType()),
+        T.StructField("avg_rating", T.DoubleType()),
+        T.StructField("update_time", T.StringType()),
+    ]
+)

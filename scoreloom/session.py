@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import posixpath
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,15 +34,15 @@ def get_session(app_name: str = "scoreloom", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Only a local master may fall back to a temporary folder: on a cluster a
-    machine-local path would be lost with its machine.
+    Without it, a local master falls back to the warehouse folder, which the session
+    itself names: on a cluster a machine-local path would be lost with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="scoreloom-")
+    return posixpath.join(spark.conf.get("spark.sql.warehouse.dir"), "_work")
 
 
 def work_path(spark: SparkSession, label: str) -> str:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from itertools import islice
 
-from pyspark.sql import Column, DataFrame, Observation, Row
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from scoreloom.functions.times import time_text
 from scoreloom.operators.cells import to_cells
@@ -70,13 +71,36 @@ def put_in_batches(
     df.foreachPartition(send)
 
 
+def _file_system(spark: SparkSession, path):
+    return path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _committed(spark: SparkSession, path: str) -> list:
+    """The finished batches of a snapshot, oldest first."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    found = _file_system(spark, Path(path)).globStatus(Path(f"{path}/batch=*/_SUCCESS"))
+    return sorted((x.getPath().getParent() for x in found or []), key=lambda p: p.getName())
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The newest committed batch of a snapshot; no rows before the first."""
+    found = _committed(spark, path)
+    return spark.read.schema(schema).parquet(found[-1].toString()) if found else spark.createDataFrame([], schema)
+
+
 # --- micro-batch sinks -----------------------------------------------------------
 
 
 def parquet_snapshot(path: str) -> BatchSink:
-    """Each micro-batch replaces the snapshot at `path`."""
+    """Each micro-batch replaces the snapshot at `path`, read by `read_snapshot`.
+
+    A batch goes to a folder of its own; readers take the newest that was committed, so
+    a batch that fails leaves the one before in place. The two newest are kept.
+    """
     def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+        for old in _committed(batch.sparkSession, path)[:-2]:
+            _file_system(batch.sparkSession, old).delete(old, True)
 
     return replace
 

@@ -39,10 +39,19 @@ def read_items(spark: SparkSession, path: str, infer: bool = False) -> DataFrame
     return reader.csv(path).withColumnRenamed("movieId", "item_id")
 
 
+def load_order() -> Column:
+    """Sorts records as they stand in their file."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    ).alias("load_order")
+
+
 def read_item_names(spark: SparkSession, path: str) -> DataFrame:
-    """(item_id, title) through a schema wider than the file."""
+    """(item_id, title, load_order) through a schema wider than the file."""
     wide = _reader(spark).schema(schemas.ITEM_FILE_WIDE_DDL).csv(path)
-    return wide.select(F.col("movieId").alias("item_id"), "title")
+    return wide.select(F.col("movieId").alias("item_id"), "title", load_order())
 
 
 @dataclass(frozen=True)
@@ -61,12 +70,15 @@ class Ingest:
         return self.records.where("short").select("record")
 
 
-def _fields(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+# A quoted field, whose separators do not count.
+_QUOTED = r'(^|,)"(?:[^"]|"")*"'
+
+
+def _fields(spark: SparkSession, path: str, names: list[str], multi_line: bool) -> DataFrame:
     """All fields as trimmed text plus `record`, `short` and `load_order`.
 
-    A record with too few fields has its last required column empty *and* is
-    reported as corrupt; a longer record is corrupt too but has that column.
-    `load_order` sorts records as they stand in their file.
+    A record whose number of fields differs from the schema's is reported as corrupt
+    with its text, whose fields are counted: only a record with too few is short.
     """
     ddl = ", ".join(f"{name} STRING" for name in [*names, _REJECTED])
     raw = (
@@ -75,21 +87,19 @@ def _fields(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
         .option("columnNameOfCorruptRecord", _REJECTED)
         # A pruned parse skips fields and would not notice that a record is short.
         .option("columnPruning", False)
+        .option("multiLine", multi_line)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-    order = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    short = F.col(_REJECTED).isNotNull() & F.col(names[-1]).isNull()
+    counted = F.size(F.split(F.regexp_replace(_REJECTED, _QUOTED, "$1"), ","))
+    # A short record lacks the last field. Spark wants one column of the record to be read.
+    short = F.col(_REJECTED).isNotNull() & F.col(names[-1]).isNull() & (counted < len(names))
     return raw.select(
         *[trim_field(F.coalesce(name, F.lit(""))).alias(name) for name in names],
         F.col(_REJECTED).alias("record"),
         short.alias("short"),
-        order.alias("load_order"),
+        load_order(),
     )
 
 
@@ -98,18 +108,20 @@ def _keyed(fields: DataFrame, columns: dict[str, Column]) -> Ingest:
     return Ingest(fields.select(*renamed, "load_order", "short", "record"))
 
 
-def ingest_items(spark: SparkSession, path: str) -> Ingest:
+def ingest_items(spark: SparkSession, path: str, multi_line: bool = False) -> Ingest:
+    """`multi_line` accepts line breaks inside quotes; each file is then read by one task."""
     item = F.col("movieId")
     return _keyed(
-        _fields(spark, path, schemas.ITEM_FILE_FIELDS),
+        _fields(spark, path, schemas.ITEM_FILE_FIELDS, multi_line),
         {"row_key": item, "item_id": item, "title": F.col("title"), "genres": F.col("genres")},
     )
 
 
-def ingest_ratings(spark: SparkSession, path: str) -> Ingest:
+def ingest_ratings(spark: SparkSession, path: str, multi_line: bool = False) -> Ingest:
+    """`multi_line` accepts line breaks inside quotes; each file is then read by one task."""
     user, item = F.col("userId"), F.col("movieId")
     return _keyed(
-        _fields(spark, path, schemas.RATING_FILE_FIELDS),
+        _fields(spark, path, schemas.RATING_FILE_FIELDS, multi_line),
         {
             "row_key": rating_key(user, item),
             "user_id": user,
@@ -197,8 +209,8 @@ def rating_lines(spark: SparkSession, path: str) -> DataFrame:
     parts = F.split("value", ",")
     return read_lines(spark, path).where(F.col("line_number") > 1).select(
         "line_number",
-        F.get(parts, F.lit(0)).try_cast("int").alias("user_id"),
-        F.get(parts, F.lit(1)).try_cast("int").alias("item_id"),
+        F.get(parts, F.lit(0)).try_cast("bigint").alias("user_id"),
+        F.get(parts, F.lit(1)).try_cast("bigint").alias("item_id"),
         F.get(parts, F.lit(2)).try_cast("double").alias("rating"),
         F.get(parts, F.lit(3)).try_cast("bigint").alias("timestamp"),
     )

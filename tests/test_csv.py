@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import pytest
 
+from scoreloom.operators.lookup import one_name_per_item
+from scoreloom.session import work_path
 from scoreloom.sources import csv_files
 from scoreloom.streaming.replay import file_messages
 from pyspark.sql import functions as F
@@ -48,12 +50,12 @@ def test_typed_scans(spark, tmp_path):
         ]
     ratings = csv_files.read_ratings(spark, str(tmp_path / "r.csv"))
     assert rows(ratings) == [(1, 2, 4.5, 9)]
-    assert [t for _, t in ratings.dtypes] == ["int", "int", "double", "bigint"]
+    assert [t for _, t in ratings.dtypes] == ["bigint", "bigint", "double", "bigint"]
 
 
 def test_schema_wider_than_the_file(spark, tmp_path):
     (tmp_path / "m.csv").write_text("movieId,title,genres\n1,A,Drama\n")
-    assert rows(csv_files.read_item_names(spark, str(tmp_path / "m.csv"))) == [(1, "A")]
+    assert rows(csv_files.read_item_names(spark, str(tmp_path / "m.csv")).drop("load_order")) == [(1, "A")]
 
 
 def test_ingest_items(spark, items_file):
@@ -127,3 +129,33 @@ def test_replay_messages(spark, ratings_file):
         '"createTime":"2025-12-08 12:33:16"}',
     )
     assert [key for key, _ in got] == ["2", "3", "4", "5"]
+
+
+def write(spark, lines: str) -> str:
+    path = work_path(spark, "csv")
+    spark.createDataFrame([(lines.rstrip("\n"),)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def test_longer_records_with_an_empty_required_field_stay(spark):
+    text = 'userId,movieId,rating,timestamp\n1,2,3.0,,extra\n1,3,4.0\n3000000000,"4,5",1.0,7,a,b\n'
+    ingest = csv_files.ingest_ratings(spark, write(spark, text))
+    assert sorted(r.user_id for r in ingest.accepted.collect()) == ["1", "3000000000"]
+    assert [r.record for r in ingest.rejected.collect()] == ["1,3,4.0"]
+
+
+def test_line_breaks_inside_quotes_are_a_choice(spark):
+    path = write(spark, 'movieId,title,genres\n1,"Two\nlines",x\n2,One,y\n')
+    kept = csv_files.ingest_items(spark, path, multi_line=True).accepted
+    assert sorted((r.item_id, r.title) for r in kept.collect()) == [("1", "Two\nlines"), ("2", "One")]
+
+
+def test_ids_beyond_32_bits_are_read(spark):
+    path = write(spark, "userId,movieId,rating,timestamp\n3000000000,4000000000,3.5,5\n")
+    for frame in (csv_files.read_ratings(spark, path), csv_files.rating_lines(spark, path)):
+        assert [(r.user_id, r.item_id) for r in frame.collect()] == [(3000000000, 4000000000)]
+
+
+def test_the_last_name_of_a_repeated_id_wins(spark):
+    path = write(spark, "movieId,title,genres\n1,Zeta,x\n1,Alpha,x\n")
+    assert [r.name for r in one_name_per_item(csv_files.read_item_names(spark, path)).collect()] == ["Alpha"]

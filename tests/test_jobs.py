@@ -102,7 +102,7 @@ def test_replayed_file_becomes_a_ranking(spark, files):
         state,
         {"availableNow": True},
     ).awaitTermination()
-    got = rows(spark.read.schema(HOT_ITEMS).parquet(snapshot).drop("update_time"))
+    got = rows(writers.read_snapshot(spark, snapshot, HOT_ITEMS).drop("update_time"))
     window = ("2025-12-08 12:00:00", "2025-12-08 12:10:00")
     assert sorted(got) == [
         (*window, "Jumanji (1995)", 1, 1.5),

@@ -78,7 +78,7 @@ def test_large_names_are_joined_to_counts(spark, sf_dir):
     with no_broadcast(spark):
         plan = plan_of(hot_items.window_counts(
             views.events(spark, sf_dir),
-            one_name_per_item(views.listed_items(spark, sf_dir)),
+            one_name_per_item(views.items(spark, sf_dir)),
             count_before_lookup=True,
         ))
     join_input = plan[plan.index("SortMergeJoin"):]
@@ -119,7 +119,7 @@ def test_ratings_of_hits_are_counted_before_the_shuffle(spark, sf_dir):
 
 
 def test_key_lists_reach_below_the_aggregate_when_small(spark, sf_dir):
-    keys = views.listed_items(spark, sf_dir)
+    keys = views.items(spark, sf_dir)
     plan = plan_of(cells.get_rows(views.rating_cells(spark, sf_dir), keys))
     aggregate = plan.index("partial_min")
     assert "LeftSemi" in plan[aggregate:]

@@ -95,7 +95,7 @@ def run_once(spark, items, folder, snapshot, checkpoint, **options):
     hot.run_hot_items(
         stream, one_name_per_item(items), writers.parquet_snapshot(snapshot), checkpoint, ALL_NOW, **options
     ).awaitTermination()
-    return spark.read.schema(HOT_ITEMS).parquet(snapshot)
+    return writers.read_snapshot(spark, snapshot, HOT_ITEMS)
 
 
 @pytest.mark.parametrize("salts", [1, 3])
