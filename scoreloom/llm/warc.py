@@ -10,7 +10,7 @@ the manifest does not name is not part of the archive, so leftovers of lost task
 
 Deduplication. Of the records with equal payloads of at least `least_bytes` the one with the
 largest page id is the response, the others revisit it and carry no payload. Only digests
-and ids are grouped and joined; the payload moves once, in the sort.
+and ids are grouped; the payload moves for the sort, and for the join only if copies are many.
 
 Folders must be reachable by every executor through the storage layer of pyarrow.
 
@@ -30,13 +30,17 @@ import uuid
 import zlib
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scoreloom.llm import packed
+
 ROLL_BYTES = 32 << 20
 PARTITION_BYTES = 64 << 20
+SLICE_BYTES = 8 << 20
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MANIFEST = "file string, part int, number int, records long, bytes long, first_page long, last_page long, sha256 string"
@@ -123,8 +127,9 @@ def _writer(folder: str, roll_bytes: int, date: str, least_bytes: int):
     def write(batches):
         roller, before, copy = _Roller(folder, TaskContext.get().partitionId(), roll_bytes), None, 0
         done = []
-        for batch in batches:
-            for page, url, payload, sha, refers_to in zip(*[batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "digest", "refers_to")]):
+        sizes = lambda b: pc.binary_length(b.column("payload")).to_numpy(zero_copy_only=False).astype("int64")
+        for rows in (x for b in batches for x in packed.slices(b, sizes(b), SLICE_BYTES)):
+            for page, url, payload, sha, refers_to in zip(*[rows.column(c).to_pylist() for c in ("page_id", "url", "payload", "digest", "refers_to")]):
                 payload = payload or b""
                 text = base64.b32encode(sha).decode()
                 copy = copy + 1 if before == (page, sha) else 0
@@ -148,22 +153,22 @@ def write_archive(
     id_column: str = "page_id", url: str = "url", payload: str = "html",
 ) -> DataFrame:
     """Writes all rows below `folder` and returns the manifest. The folder must be new."""
-    spark = pages.sparkSession
     storage, path = open_folder(folder)
     storage.create_dir(posixpath.join(path, "data"), recursive=True)
     rows = pages.select(
         F.col(id_column).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(payload).cast("binary"), F.lit("").cast("binary")).alias("payload"),
     ).withColumn("digest", F.unhex(F.sha1("payload")))
-    # The largest id of each payload; joined to digests and ids only, then to the rows by a sort.
-    winners = rows.groupBy("digest").agg(F.max("page_id").alias("refers_to"))
+    # The largest id of each payload that stands more than once. Its stored size decides
+    # whether the join ships it to the rows or shuffles them.
+    winners = rows.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
+    winners = packed.staged(winners.where("n > 1").select("digest", "refers_to"), posixpath.join(folder, "copies"))
     size, n = rows.agg(F.sum(F.octet_length("payload")).cast("long"), F.count("*")).first()
-    told = rows.join(winners, "digest")
+    told = rows.join(winners, "digest", "left").withColumn("refers_to", F.coalesce("refers_to", "page_id"))
     ordered = told.repartitionByRange(max(12, -(-(size or 0) // PARTITION_BYTES)), "page_id", "digest", "url")
     ordered = ordered.sortWithinPartitions("page_id", "digest", "url").select("page_id", "url", "payload", "digest", "refers_to")
     written = ordered.mapInArrow(_writer(posixpath.join(folder, "data"), roll_bytes, date, least_bytes), _MANIFEST)
-    written.write.parquet(posixpath.join(folder, "manifest"))
-    return spark.read.parquet(posixpath.join(folder, "manifest"))
+    return packed.staged(written, posixpath.join(folder, "manifest"))
 
 
 def _members(stream, size: int = 1 << 20):
