@@ -168,16 +168,15 @@ def contaminated(
     id_column: str = "doc_id", item_column: str = "item_id", text: str = "text",
 ) -> DataFrame:
     """(doc_id, item_id, covered, item_tokens, tiles) of every pair at or over the threshold."""
-    spark = docs.sparkSession
-    path = work_path(spark, "tiling")
+    path = work_path(docs.sparkSession, "tiling")
     name = F.unhex(F.sha2("text", 256))  # equal texts are compared once
     plain = docs.selectExpr(f"cast(`{id_column}` as bigint) AS doc_id", f"`{text}` AS text").where("text IS NOT NULL")
     plain = plain.withColumn("name", name)
     items = benchmark.selectExpr(f"`{item_column}` AS item_id", f"`{text}` AS text").where("text IS NOT NULL")
     items = items.withColumn("item", name)
     distinct = items.select("item", "text").dropDuplicates(["item"])
-    distinct.mapInArrow(_item_seeds(least), "item binary, key long, place int, size int").write.parquet(f"{path}/seeds")
-    seeds = spark.read.parquet(f"{path}/seeds")
+    seeds = distinct.mapInArrow(_item_seeds(least), "item binary, key long, place int, size int")
+    seeds = packed.staged(seeds, f"{path}/seeds")
     keys, known = seeds.select("key").distinct(), None
     if keys.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:  # 8 bytes each
         known = np.sort(np.array([r.key for r in keys.collect()], np.int64).view(np.uint64))
@@ -189,11 +188,9 @@ def contaminated(
         hits.distinct().join(most, "key").groupBy("name", "item", "size").agg(F.sum("most").alias("most"))
         .where(F.col("most") >= threshold * F.col("size")).select("name", "item")
     )
-    likely.write.parquet(f"{path}/likely")
-    likely = spark.read.parquet(f"{path}/likely")
+    likely = packed.staged(likely, f"{path}/likely")
     texts = plain.join(likely.select("name").distinct(), "name", "left_semi").select("doc_id", "name", "text")
-    texts.write.parquet(f"{path}/texts")
-    texts = spark.read.parquet(f"{path}/texts")
+    texts = packed.staged(texts, f"{path}/texts")
     pairs = likely.join(texts.select("name", "text").dropDuplicates(["name"]), "name")
     pairs = pairs.join(distinct.withColumnRenamed("text", "item_text"), "item")
     tiled = pairs.select("name", "item", "text", "item_text").repartition("name", "item").mapInArrow(
