@@ -6,10 +6,10 @@ For each language: log posterior = log prior of the text's host
     + log P(declared language | language) for the declared markup language
     + log P(address suffix | language) for the suffix of the address.
 
-Host priors are smoothed hierarchically: a host's language counts lean on its domain's, the
-domain's on its suffix's, and those on the whole table's. All tables (trigrams, confusion of the
-declared language, suffixes, hosts) are grouped aggregates over all rows, whose first language is
-the declared one; rows that declare none still count in the priors with nothing.
+Host priors are smoothed hierarchically: a host's language counts lean on its domain's, and
+the domain's on the whole table's. All tables (trigrams, suffixes, hosts) are grouped aggregates
+over all rows by their declared language; rows that declare none add nothing to them. How often
+a declaration errs is a constant, since it cannot be learned from declarations.
 
 A row is rejected when it has no letters, when the posterior of its language is under
 `least_posterior`, or when its letters are less likely in every language than `least_fit`

@@ -14,7 +14,7 @@ distinct bigrams, one added. s is the beginning of the word (`STEM` bytes) and C
 in both classes. With little of a word in a class both models fall back to the same shared
 counts, so that what was not learned says nothing.
 
-The length-normalised difference over all tokens, over the text's best stretches, and the
+The length-normalised difference over all tokens, that of its strong words alone, and the
 length itself are calibrated to a probability by a logistic curve. It is fitted to a quarter of the training rows, with
 models of the other three; the models that score learn from all of them.
 
