@@ -108,7 +108,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BASE = 0x9E3779B97F4A7C55
 
 
-@lru_cache(4)
+@lru_cache(1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up = np.full(n, _U(_BASE))
     down = np.full(n, _U(pow(_BASE, -1, 1 << 64)))

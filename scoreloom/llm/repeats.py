@@ -31,14 +31,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from scoreloom.llm import induced, packed
 
 LENGTH, GRAM = 200, 80
 BLOCK_BYTES = 2 << 20
-BUCKET_BYTES = 16 << 20
-HOT = 20_000
+BUCKET_BYTES = 4 << 20
+SORT_BYTES = 1 << 20
+HOT = 3_000
 ALONE, REPEATED, COMPARE, SINGLY = 0, 1, 2, 3
 TAKES_PART = 4  #: flag: this entry's span goes to the shard
 _U = np.uint64
@@ -49,7 +51,7 @@ _BLOCK = (
 )
 _ASK = "block long, bucket int, grams binary, spans binary, counts binary"
 _TOLD = "block long, bucket int, told binary, windows binary"
-_SHARD = "block long, bucket int, at binary, lengths binary, told binary, data binary, hashes binary"
+_SHARD = "block long, bucket int, at binary, lengths binary, told binary, grams binary, data binary, hashes binary"
 
 
 def _frame(columns: dict, schema: str, n: int) -> pa.RecordBatch:
@@ -88,7 +90,8 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     sizes = np.diff(np.append(at, len(windows)))
     starts = windows[at]
     spans = packed.span_hash((sums, down), starts, starts + sizes + length - 1)
-    return starts, sizes, grams[anchor[starts]], packed.mix(spans + (anchor[starts] - starts).astype(np.uint64))
+    # Least hashes are small numbers: mixed again, they spread over all buckets.
+    return starts, sizes, packed.mix(grams[anchor[starts]]), packed.mix(spans + (anchor[starts] - starts).astype(np.uint64))
 
 
 def _split(buckets: int):
@@ -174,6 +177,8 @@ def _told(told: pa.Table) -> np.ndarray:
 def _send(buckets: int):
     def send(own: pa.Table, told: pa.Table) -> pa.Table:
         row, told_all, out, at = _own(own), _told(told), [], 0
+        messages = own.filter(pc.is_valid(own.column("bucket"))).sort_by("bucket").column("grams").to_pylist()
+        grams = np.concatenate([np.zeros(0, np.uint64), *[packed.unpack_sorted(x) for x in messages]])
         single = {}
         for bucket, n in _asks(own):
             told_here = told_all[at : at + n]
@@ -184,7 +189,7 @@ def _send(buckets: int):
                 runs = row["one"][entries]
                 lengths = row["sizes"][runs] + LENGTH - 1
                 text = row["data"][packed.ragged(row["starts"][runs], lengths)]
-                out.append((row["block"], bucket, packed.pack(entries, np.uint32), packed.pack(lengths, np.uint32), packed.pack(told_all[entries]), packed.pack(text), None))
+                out.append((row["block"], bucket, packed.pack(entries, np.uint32), packed.pack(lengths, np.uint32), packed.pack(told_all[entries]), packed.pack(grams[entries]), packed.pack(text), None))
             if len(hot):
                 runs = row["one"][hot]
                 begin = packed.ragged(row["starts"][runs], row["sizes"][runs])
@@ -197,37 +202,59 @@ def _send(buckets: int):
             at += n
         for b, found in single.items():
             hashes, of, place = (np.concatenate(x) for x in zip(*found))
-            out.append((row["block"], b, packed.pack(of, np.uint32), packed.pack(place, np.uint32), packed.pack(told_all[of]), None, packed.pack(hashes)))
-        names = ["block", "bucket", "at", "lengths", "told", "data", "hashes"]
-        columns = list(zip(*out)) if out else [[]] * 7
-        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
+            out.append((row["block"], b, packed.pack(of, np.uint32), packed.pack(place, np.uint32), packed.pack(told_all[of]), None, None, packed.pack(hashes)))
+        names = ["block", "bucket", "at", "lengths", "told", "grams", "data", "hashes"]
+        columns = list(zip(*out)) if out else [[]] * 8
+        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 6]
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return send
 
 
+def _parts(grams: np.ndarray, lengths: np.ndarray):
+    """Slices of strings in order of their grams, cut between grams, of about `SORT_BYTES` or one gram."""
+    last = np.flatnonzero(np.append(grams[1:] != grams[:-1], True)) + 1
+    ends, start = np.cumsum(lengths), 0
+    while start < len(grams):
+        before = ends[start - 1] if start else 0
+        fit = last[(last > start) & (ends[last - 1] - before <= SORT_BYTES)]
+        stop = int(fit[-1]) if len(fit) else int(last[last > start][0])
+        yield slice(start, stop)
+        start = stop
+
+
 def _compare(table: pa.Table) -> pa.Table:
     """Which windows of a shard's spans are repeated: (entry, window) pairs for each block."""
     out = []
-    strings = [r for r in table.select(["block", "bucket", "at", "lengths", "told", "data"]).to_pylist() if r["data"] is not None]
+    strings = [r for r in table.drop(["hashes"]).to_pylist() if r["data"] is not None]
     if strings:
-        lengths = [packed.unpack(r["lengths"], np.uint32).astype(np.int64) for r in strings]
-        bounds = np.cumsum([0, *map(len, lengths)])
-        lengths = np.concatenate(lengths)
-        ends = np.cumsum(lengths + 1)
-        begins = ends - lengths - 1
-        text = np.zeros(int(ends[-1]), np.uint8)
-        # No byte of UTF-8 text is 255, so that a shift by one frees 0 for the ends.
-        text[packed.ragged(begins, lengths)] = np.concatenate([packed.unpack(r["data"], np.uint8) for r in strings]) + np.uint8(1)
-        found = induced.repeated_starts(text, LENGTH)
-        for r, a, b in zip(strings, bounds, bounds[1:]):
-            at, told = packed.unpack(r["at"], np.uint32), packed.unpack(r["told"], np.uint8)
-            use = told & 3 == COMPARE
-            sizes = lengths[a:b][use] - LENGTH + 1
-            windows = packed.ragged(begins[a:b][use], sizes)
-            place = windows - np.repeat(begins[a:b][use], sizes)
+        column = lambda c, kind: np.concatenate([packed.unpack(r[c], kind) for r in strings])
+        lengths, told, entry = column("lengths", np.uint32).astype(np.int64), column("told", np.uint8), column("at", np.uint32)
+        data, starts = column("data", np.uint8), np.cumsum(lengths) - lengths
+        bounds = np.cumsum([0, *[len(packed.unpack(r["at"], np.uint32)) for r in strings]])
+        grams = column("grams", np.uint64)
+        order = np.argsort(grams, kind="stable")
+        hits = []
+        for part in _parts(grams[order], lengths[order]):
+            chosen = order[part]
+            n = lengths[chosen]
+            begins = np.cumsum(n + 1) - n - 1
+            text = np.zeros(int((n + 1).sum()), np.uint8)
+            # No byte of UTF-8 text is 255, so that a shift by one frees 0 for the ends.
+            text[packed.ragged(begins, n)] = data[packed.ragged(starts[chosen], n)] + np.uint8(1)
+            found = induced.repeated_starts(text, LENGTH)
+            use = np.flatnonzero(told[chosen] & 3 == COMPARE)
+            sizes = n[use] - LENGTH + 1
+            windows = packed.ragged(begins[use], sizes)
             hit = found[windows]
-            out.append((r["block"], r["bucket"], np.repeat(at[use], sizes)[hit], place[hit]))
+            hits.append(np.stack([np.repeat(chosen[use], sizes)[hit], (windows - np.repeat(begins[use], sizes))[hit]]))
+        string, place = np.concatenate(hits, axis=1)
+        order = np.argsort(string, kind="stable")
+        string, place = string[order], place[order]
+        cuts = np.searchsorted(string, bounds)
+        for r, a, b in zip(strings, cuts, cuts[1:]):
+            if b > a:
+                out.append((r["block"], r["bucket"], entry[string[a:b]], place[a:b]))
     singles = [r for r in table.to_pylist() if r["hashes"] is not None]
     if singles:
         hashes = [packed.unpack(r["hashes"], np.uint64) for r in singles]
@@ -283,3 +310,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     return split.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
+
+
+def whole_characters(kept: Column) -> Column:
+    """Kept bytes as text; bytes of characters that were cut in part are left out."""
+    return F.replace(F.make_valid_utf8(kept.cast("string")), F.lit("\ufffd"), F.lit(""))
