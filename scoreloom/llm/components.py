@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scoreloom.llm import packed
 from scoreloom.session import work_path
 
 
@@ -25,20 +26,16 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
 
 def smallest_member(links: DataFrame, rounds: int = 100) -> DataFrame:
     """(node, component) for every node of `links` (a, b) but the smallest of each component."""
-    spark = links.sparkSession
-    path = work_path(spark, "components")
+    path = work_path(links.sparkSession, "components")
     down = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    down.write.parquet(f"{path}/0")
-    state = None
+    down, state = packed.staged(down, f"{path}/0"), None
     for i in range(1, rounds + 1):
-        down = spark.read.parquet(f"{path}/{i - 1}")
         both = down.unionByName(down.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, larger=True)
         # What hangs on u after the small step: u's smaller neighbours and u itself.
-        _star(large, larger=False).write.parquet(f"{path}/{i}")
-        now = spark.read.parquet(f"{path}/{i}")
-        new = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        down = packed.staged(_star(large, larger=False), f"{path}/{i}")
+        new = down.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if new == state:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            return down.select(F.col("u").alias("node"), F.col("v").alias("component"))
         state = new
     raise RuntimeError(f"links did not settle in {rounds} rounds")

@@ -12,17 +12,19 @@ differ in at most (|A| + |B|) / 7 shingles. PartEnum turns that bound into equal
 Empty pairs of sub-partitions are equal in unrelated sets. A set whose partitions with
 all pairs filled number over k / 2 needs no empty signatures, for by the same argument one
 of those is shared; the few sets below that also emit their empty ones. No pair is lost.
-
-Plan. Equal sets count as one set, named by its hash. A block of texts sends its
-signatures in messages to hash buckets, each signature once per block (of several sets
-with one signature only the smallest leaves; the others are tied to it at once), so a
-group of near copies that holds a third of all rows weighs as much as the blocks that
-hold it. A bucket ties all sets of a signature to the smallest, the leader: a star, not
-all pairs. Stars are verified on whole texts. Verified members are in their leader's
-component already. The others, and members of stars with a half-similar set (by the
-triangle inequality of the Jaccard distance only these can still matter), go into the
-next round with a new leader; after `STAR_ROUNDS` the rest of the pairs that share a
-signature and are not in one component yet are all verified.
+The same holds with "filled" read as "holds a shingle that is not common": signatures of
+common shingles alone leave only sets that have too few others. The common shingles are the
+`COMMON` most frequent of those that blocks see in several sets; the choice cannot change a link.
+
+Plan. Equal sets count as one set, named by its hash, and leave a block of texts once. A
+block sends its signatures in messages to hash buckets. A bucket takes all pairs of a
+signature that at most `SMALL` sets share. A bigger group is a star: all its sets are
+paired with the smallest, the leader, so that a group of near copies costs its size, not
+its square. Pairs are ruled out by an exact bound on sketches, and the rest verified on whole
+texts. Verified members of a star are in their leader's component. The others, and the members
+of stars with a half-similar set (by the triangle inequality of the Jaccard distance only these
+can still matter), go into the next round; after `STAR_ROUNDS` all pairs that share a
+signature and are not in one component yet are verified.
 
 Defined results: a text without words has no shingles and links with nothing; with fewer
 than five words the whole sequence is its one shingle; rows of a null id count, but link
@@ -31,6 +33,8 @@ with nothing and have no component; repeated rows each return a row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -42,9 +46,12 @@ from scoreloom.llm.components import smallest_member
 from scoreloom.session import work_path
 
 SHINGLE = 5
-BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
-STAR_ROUNDS = 4
+BLOCK_BYTES = 3 << 20
+BUCKET_BYTES = 6 << 20
+STAR_ROUNDS = 1
+SMALL = 8
+COMMON, COMMON_IN_BLOCK = 100_000, 3
+SKETCH_BITS = 1024
 _U = np.uint64
 _ODD = (_U(0xD1342543DE82EF95), _U(0xAF251AF3B0F025B5), _U(0xB564EF22EC7AECE5))
 
@@ -84,9 +91,10 @@ def _family(sizes: np.ndarray) -> np.ndarray:
     return np.maximum(0, np.ceil(np.log2(np.maximum(sizes, 1) / 8)).astype(np.int64))
 
 
-def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def signatures(sets: list[np.ndarray], common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Signatures, and the index of the set that each belongs to. Sets under three
-    shingles have none: they link with equal sets only."""
+    shingles have none: they link with equal sets only. `common` are ascending shingles;
+    any choice gives the same links, if it is the same for all sets."""
     sizes = np.array([len(s) for s in sets], np.int64)
     home = _family(sizes)
     able = np.flatnonzero(sizes >= 3)
@@ -97,6 +105,9 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     partitions = -(-(8 << family) // 6)
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     flat = np.concatenate(sets)
+    rare = np.ones(len(flat), bool)
+    if common is not None and len(common):
+        rare = common[np.minimum(np.searchsorted(common, flat), len(common) - 1)] != flat
     take = packed.ragged(bounds[owner], sizes[owner])
     shingle = packed.mix(flat[take] + _ODD[1])
     cells = 3 * partitions
@@ -106,87 +117,101 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     total = int(cells.sum())
     sums = np.zeros(total, np.uint64)
     np.add.at(sums, cell, packed.mix(shingle))
-    filled = (np.bincount(cell, minlength=total) > 0).reshape(-1, 3)
     sums = sums.reshape(-1, 3)
-    good = np.add.reduceat((filled.sum(1) >= 2).astype(np.int64), first // 3)
     most = (sizes[owner] + 4 * sizes[owner] // 3) // 7
-    lacking = np.repeat(2 * good <= most, partitions)
     place = np.arange(total // 3) - np.repeat(first // 3, partitions)
     spot = packed.mix((np.repeat(family, partitions) << 40 | place).astype(np.uint64))
     of = np.repeat(owner, partitions)
+
+    def told(filled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sub-partitions that are filled, and rows of sets with too few good partitions."""
+        filled = (np.bincount(cell[filled], minlength=total) > 0).reshape(-1, 3)
+        good = np.add.reduceat((filled.sum(1) >= 2).astype(np.int64), first // 3)
+        return filled, np.repeat(2 * good <= most, partitions)
+
+    by_rare, few_rare = told(rare[take])
+    by_any, few_any = told(np.ones(len(take), bool))
     keys, owners = [], []
     for a, b in ((0, 1), (0, 2), (1, 2)):
-        use = filled[:, a] | filled[:, b] | lacking
+        use = by_rare[:, a] | by_rare[:, b] | (few_rare & (by_any[:, a] | by_any[:, b] | few_any))
         key = sums[use, a] * _ODD[a] + sums[use, b] * _ODD[b] + spot[use] + _U(3 * a + b)
         keys.append(packed.mix(key))
         owners.append(of[use])
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def _stars(keys: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of entries (signature, set): the distinct (leader, member) pairs of all signatures,
-    and which entries are leaders or alone."""
+def _ties(keys: np.ndarray, names: np.ndarray, labels: np.ndarray, small: int | None) -> np.ndarray:
+    """Rows (a, b, big) of the sets that share a signature: all pairs of groups of at most
+    `small` sets; of bigger groups the pairs with the smallest set, marked big. Sets of
+    one label are connected already and make no pair."""
     order = np.lexsort((names, keys))
-    keys, names = keys[order], names[order]
+    keys, names, labels = keys[order], names[order], labels[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (names[1:] != names[:-1])
+    keys, names, labels = keys[new], names[new], labels[new]
     start = np.ones(len(keys), bool)
     start[1:] = keys[1:] != keys[:-1]
-    leader = names[start][np.cumsum(start) - 1] if len(keys) else names
-    member = ~start & (names != leader)
-    pairs = np.unique(np.stack([leader[member], names[member]], 1), axis=0) if member.any() else np.zeros((0, 2), np.uint64)
-    return pairs[:, 0], pairs[:, 1], order[start]
+    group = np.cumsum(start) - 1
+    size = np.bincount(group)[group] if len(keys) else group
+    big = np.zeros(len(keys), bool) if small is None else size > small
+    leader = names[start][group] if len(keys) else names
+    member = big & ~start
+    out = [np.stack([leader[member], names[member], np.ones(int(member.sum()), np.uint64)], 1)]
+    few = np.flatnonzero(~big)
+    for step in range(1, int(size[few].max()) if len(few) else 0):
+        at = few[few + step < len(keys)]
+        few = at = at[group[at + step] == group[at]]
+        at = at[labels[at + step] != labels[at]]
+        out.append(np.unique(np.stack([names[at], names[at + step], np.zeros(len(at), np.uint64)], 1), axis=0))
+    return np.unique(np.concatenate(out), axis=0)
 
 
-_ASK = "bucket int, keys binary, owners binary, names binary, a binary, b binary"
+_ASK = "bucket int, keys binary, owners binary, names binary, labels binary"
 
 
-def _signature_messages(buckets: int):
+def _signature_messages(buckets: int, common: np.ndarray):
     def send(batches):
         for _, rows in packed.blocks(batches, "text", BLOCK_BYTES):
             sets = shingle_sets(_plain(rows.column("text")))
             names = set_hashes(sets)
             _, one = np.unique(names, return_index=True)
             sets, names = [sets[i] for i in one], names[one]
-            keys, owners = signatures(sets)
-            a, b, leave = _stars(keys, names[owners])
-            leave = leave[np.argsort(keys[leave])]
-            keys, owners = keys[leave], owners[leave]
+            labels = rows.column("label").to_numpy(zero_copy_only=False)[one] if "label" in rows.schema.names else None
+            keys, owners = signatures(sets, common)
+            order = np.argsort(keys)
+            keys, owners = keys[order], owners[order]
             out = []
             for bucket, s in packed.bucket_ranges(keys, buckets):
                 used, local = np.unique(owners[s], return_inverse=True)
                 kind = np.uint16 if len(used) < 1 << 16 else np.uint32
-                out.append((bucket, packed.pack_sorted(keys[s]), bytes([np.dtype(kind).itemsize]) + packed.pack(local, kind), packed.pack(names[used]), None, None))
-            if len(a):
-                out.append((int(a[0] % _U(buckets)), None, None, None, packed.pack(a), packed.pack(b)))
-            columns = list(zip(*out)) if out else [[]] * 6
+                out.append((bucket, packed.pack_sorted(keys[s]), bytes([np.dtype(kind).itemsize]) + packed.pack(local, kind), packed.pack(names[used]), None if labels is None else packed.pack(labels[used])))
+            columns = list(zip(*out)) if out else [[]] * 5
             yield pa.record_batch(
-                [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
-                names=["bucket", "keys", "owners", "names", "a", "b"],
+                [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=["bucket", "keys", "owners", "names", "labels"]
             )
 
     return send
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    """Stars of one bucket over all blocks."""
-    rows = table.to_pylist()
-    keys, names, done = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], []
-    for r in rows:
-        if r["a"] is not None:
-            done.append(np.stack([packed.unpack(r["a"], np.uint64), packed.unpack(r["b"], np.uint64)], 1))
-            continue
-        keys.append(packed.unpack_sorted(r["keys"]))
-        local = packed.unpack(r["owners"][1:], np.uint16 if r["owners"][0] == 2 else np.uint32)
-        names.append(packed.unpack(r["names"], np.uint64)[local])
-    keys, names = np.concatenate(keys), np.concatenate(names)
-    order = np.argsort(keys, kind="stable")
-    same = np.zeros(len(keys), bool)
-    if len(keys):
+def _meet(small: int | None):
+    def meet(table: pa.Table) -> pa.Table:
+        """Sets of one bucket's signatures over all blocks."""
+        keys, names, labels = [], [], []
+        for r in table.to_pylist():
+            keys.append(packed.unpack_sorted(r["keys"]))
+            local = packed.unpack(r["owners"][1:], np.uint16 if r["owners"][0] == 2 else np.uint32)
+            names.append(packed.unpack(r["names"], np.uint64)[local])
+            labels.append(names[-1] if r["labels"] is None else packed.unpack(r["labels"], np.uint64)[local])
+        keys, names, labels = np.concatenate(keys), np.concatenate(names), np.concatenate(labels)
+        order = np.argsort(keys, kind="stable")
         equal = keys[order][1:] == keys[order][:-1]
+        same = np.zeros(len(keys), bool)
         same[order[1:]] |= equal
         same[order[:-1]] |= equal
-    a, b, _ = _stars(keys[same], names[same])
-    pairs = np.unique(np.concatenate([np.stack([a, b], 1), *done]), axis=0)
-    return pa.table({"a": pairs[:, 0].view(np.int64), "b": pairs[:, 1].view(np.int64)})
+        pairs = _ties(keys[same], names[same], labels[same], small)
+        return pa.table({"a": pairs[:, 0].copy().view(np.int64), "b": pairs[:, 1].copy().view(np.int64), "big": pairs[:, 2] > 0})
+
+    return meet
 
 
 def _plain(column: pa.Array) -> pa.Array:
@@ -197,121 +222,145 @@ def _plain(column: pa.Array) -> pa.Array:
     return column
 
 
-def candidate_stars(texts: DataFrame, buckets: int) -> DataFrame:
-    """Distinct (a, b): set a leads a signature that set b has as well."""
-    asked = texts.select("text").mapInArrow(_signature_messages(buckets), _ASK)
-    stars = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_meet, "a long, b long")
-    return stars.distinct()
+def candidates(texts: DataFrame, buckets: int, common: np.ndarray, small: int | None = SMALL) -> DataFrame:
+    """Distinct (a, b, big) of sets that share a signature; `big` if in a star of many sets."""
+    asked = texts.select(*[c for c in ("text", "label") if c in texts.columns]).mapInArrow(_signature_messages(buckets, common), _ASK)
+    met = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_meet(small), "a long, b long, big boolean")
+    return met.groupBy("a", "b").agg(F.max("big").alias("big"))
 
 
-def _named(packed_text: bool):
-    def name(batches):
-        compress = zstandard.ZstdCompressor(level=1).compress
-        for _, rows in packed.blocks(batches, "text", BLOCK_BYTES):
-            sets = shingle_sets(rows.column("text"))
-            names = set_hashes(sets).view(np.int64)
-            if not packed_text:
-                yield pa.record_batch({
-                    "doc_id": rows.column("doc_id"), "name": pa.array(names), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                })
-                continue
-            _, one = np.unique(names, return_index=True)
-            one = one[[len(sets[i]) >= 3 for i in one]] if len(one) else one
-            texts = rows.column("text").take(pa.array(one)).to_pylist()
-            yield pa.record_batch({"name": pa.array(names[one]), "text": pa.array([compress(t.encode()) for t in texts], pa.binary())})
+def _rows(batches):
+    """Name and size of each row's set, and once per block the shingles of several of its sets."""
+    for _, rows in packed.blocks(batches, "text", BLOCK_BYTES):
+        sets = shingle_sets(rows.column("text"))
+        names = set_hashes(sets)
+        _, one = np.unique(names, return_index=True)
+        keys, counts = np.unique(np.concatenate([sets[i] for i in one]), return_counts=True)
+        often = counts >= COMMON_IN_BLOCK
+        blank = [None] * (len(sets) - 1)
+        yield pa.record_batch({
+            "doc_id": rows.column("doc_id"), "name": pa.array(names.view(np.int64)), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+            "sketch": pa.array([x.tobytes() for x in sketches(sets)], pa.binary()),
+            "often": pa.array([packed.pack(keys[often]), *blank], pa.binary()), "counts": pa.array([packed.pack(counts[often], np.uint32), *blank], pa.binary()),
+        })
+
+
+def _unpacked(batches):
+    for batch in batches:
+        for keys, counts in zip(batch.column("often").to_pylist(), batch.column("counts").to_pylist()):
+            yield pa.record_batch({"key": pa.array(packed.unpack(keys, np.int64)), "n": pa.array(packed.unpack(counts, np.uint32), pa.int64())})
+
 
-    return name
+def common_shingles(rows: DataFrame) -> np.ndarray:
+    """At most `COMMON` shingles (8 bytes each), ascending."""
+    seen = rows.where("often IS NOT NULL").select("often", "counts").mapInArrow(_unpacked, "key long, n long")
+    top = seen.groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(COMMON).select("key").toArrow()
+    return np.sort(top.column("key").to_numpy().view(np.uint64))
+
+
+def _texts(batches):
+    """One packed text of each set of a block that can link with another."""
+    compress = zstandard.ZstdCompressor(level=1).compress
+    for _, rows in packed.blocks(batches, "text", BLOCK_BYTES):
+        sets = shingle_sets(rows.column("text"))
+        names = set_hashes(sets).view(np.int64)
+        _, one = np.unique(names, return_index=True)
+        one = one[[len(sets[i]) >= 3 for i in one]] if len(one) else one
+        texts = rows.column("text").take(pa.array(one)).to_pylist()
+        yield pa.record_batch({"name": pa.array(names[one]), "text": pa.array([compress(t.encode()) for t in texts], pa.binary())})
 
 
 def _compare(batches):
     for batch in batches:
-        step = 256
+        step = 16  # whole texts, some of them long
         for at in range(0, batch.num_rows, step):
             part = batch.slice(at, step)
             left, right = shingle_sets(_plain(part.column("left"))), shingle_sets(_plain(part.column("right")))
             both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)]
             either = [len(x) + len(y) - n for x, y, n in zip(left, right, both)]
             yield pa.record_batch({
-                "a": part.column("a"), "b": part.column("b"), "shared": pa.array(both, pa.int64()), "all": pa.array(either, pa.int64()),
+                "a": part.column("a"), "b": part.column("b"), "big": part.column("big"), "shared": pa.array(both, pa.int64()), "all": pa.array(either, pa.int64()),
             })
 
 
-def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the sizes of intersection and union of their sets."""
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set the parity of its shingles in each of `SKETCH_BITS` classes, packed.
+
+    Two sets that differ in d shingles have sketches that differ in at most d bits.
+    """
+    sizes = [len(s) for s in sets]
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    cell = (packed.mix(flat + _ODD[2]) % _U(SKETCH_BITS)).astype(np.int64) + np.repeat(np.arange(len(sets)), sizes) * SKETCH_BITS
+    odd = np.bincount(cell, minlength=len(sets) * SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(sets), SKETCH_BITS), axis=1)
+
+
+def _sift(batches):
+    """How far the sketches of each pair let it be linked, or half-similar."""
+    for batch in batches:
+        bits = lambda c: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+        both = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+        apart = np.bitwise_count(bits("s") ^ bits("t")).sum(1, dtype=np.int64) if batch.num_rows else both
+        yield pa.record_batch({
+            "a": batch.column("a"), "b": batch.column("b"), "big": batch.column("big"), "linked": pa.array(7 * apart <= both), "half": pa.array(3 * apart <= both),
+        })
+
+
+def verify(pairs: DataFrame, sketch: DataFrame, docs: DataFrame, path: str) -> DataFrame:
+    """Pairs (a, b, big) with `linked` and `half`: whether their sets reach 75, and maybe 50, percent.
+
+    Sketches rule pairs out exactly; what is left is compared on whole texts.
+    """
+    left = sketch.select(F.col("name").alias("a"), F.col("n").alias("n"), F.col("sketch").alias("s"))
+    right = sketch.select(F.col("name").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("t"))
+    sifted = pairs.join(left, "a").join(right, "b").select("a", "b", "big", "n", "m", "s", "t")
+    sifted = packed.staged(sifted.mapInArrow(_sift, "a long, b long, big boolean, linked boolean, half boolean"), f"{path}-sifted")
+    wanted = sifted.where("linked").select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    texts = docs.select("text").mapInArrow(_texts, "name long, text binary").join(wanted, "name", "left_semi")
+    texts = packed.staged(texts.dropDuplicates(["name"]), f"{path}-texts")
     left = texts.select(F.col("name").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("name").alias("b"), F.col("text").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return joined.mapInArrow(_compare, "a long, b long, shared long, all long")
+    close = sifted.where("linked").select("a", "b", "big").join(left, "a").join(right, "b").select("a", "b", "big", "left", "right")
+    compared = close.mapInArrow(_compare, "a long, b long, big boolean, shared long, all long")
+    compared = compared.selectExpr("a", "b", "big", "100 * shared >= 75 * all AS linked", "2 * shared >= all AS half")
+    return packed.staged(compared.unionByName(sifted.where("NOT linked")), f"{path}-verified")
 
 
-LINKED, HALF = "100 * shared >= 75 * all", "2 * shared >= all"
+def _all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
-def _links(docs: DataFrame, path: str, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+def _links(docs: DataFrame, path: str, common: np.ndarray, sketch: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """Verified links (a, b) between set names that connect every component."""
-    spark = docs.sparkSession
     buckets = packed.parts(packed.text_size(docs), BUCKET_BYTES)
-    candidate_stars(docs, buckets).write.parquet(f"{path}/stars-1")
-    stars = spark.read.parquet(f"{path}/stars-1")
-    wanted = stars.select(F.explode(F.array("a", "b")).alias("name")).distinct()
-    texts = docs.mapInArrow(_named(True), "name long, text binary").join(wanted, "name", "left_semi")
-    texts.dropDuplicates(["name"]).write.parquet(f"{path}/texts")
-    texts = spark.read.parquet(f"{path}/texts")
-    verified = []
+    found, links = candidates(docs, buckets, common), []
     for i in range(1, star_rounds + 2):
-        verify(stars, texts).write.parquet(f"{path}/verified-{i}")
-        checked = spark.read.parquet(f"{path}/verified-{i}")
-        verified.append(checked.where(LINKED).select("a", "b"))
-        failed = checked.where(f"NOT ({LINKED})")
-        open_leaders = failed.where(HALF).select("a").distinct()
-        active = (
-            failed.select(F.col("b").alias("name"))
-            .unionByName(checked.where(LINKED).join(open_leaders, "a", "left_semi").select(F.col("b").alias("name")))
-            .distinct()
-        )
-        if i > star_rounds or active.limit(2).count() < 2:
+        checked = verify(packed.staged(found, f"{path}/{i}-pairs"), sketch, docs, f"{path}/{i}")
+        links.append(checked.where("linked").select("a", "b"))
+        star = checked.where("big")
+        failed = star.where("NOT linked")
+        if i > star_rounds or failed.isEmpty():
             break
-        active.write.parquet(f"{path}/active-{i}")
-        left = texts.join(spark.read.parquet(f"{path}/active-{i}"), "name", "left_semi")
-        if i < star_rounds:
-            candidate_stars(left, buckets).write.parquet(f"{path}/stars-{i + 1}")
-        else:
-            known = verified[0]
-            for x in verified[1:]:
-                known = known.unionByName(x)
-            _open_pairs(left, known).write.parquet(f"{path}/stars-{i + 1}")
-        stars = spark.read.parquet(f"{path}/stars-{i + 1}")
-    links = verified[0]
-    for x in verified[1:]:
-        links = links.unionByName(x)
-    return links
-
-
-def _explode(batches):
-    for _, rows in packed.blocks(batches, "text", BLOCK_BYTES):
-        keys, owners = signatures(shingle_sets(_plain(rows.column("text"))))
-        names = rows.column("name").to_numpy(zero_copy_only=False)
-        yield pa.record_batch({"key": pa.array(keys.view(np.int64)), "name": pa.array(names[owners])})
-
-
-def _open_pairs(texts: DataFrame, links: DataFrame) -> DataFrame:
-    """All pairs that share a signature and are not connected by `links` yet."""
-    label = smallest_member(links)
-    entries = texts.mapInArrow(_explode, "key long, name long").join(label.withColumnRenamed("node", "name"), "name", "left")
-    entries = entries.withColumn("component", F.coalesce("component", "name"))
-    a = entries.select("key", F.col("name").alias("a"), F.col("component").alias("x"))
-    b = entries.select("key", F.col("name").alias("b"), F.col("component").alias("y"))
-    return a.join(b, "key").where("a < b AND x <> y").select("a", "b").distinct()
+        open_leaders = failed.where("half").select("a").distinct()
+        active = failed.select("b").unionByName(star.where("linked").join(open_leaders, "a", "left_semi").select("b"))
+        active = packed.staged(active.select(F.col("b").alias("name")).distinct(), f"{path}/{i}-active")
+        left = docs.select("text").mapInArrow(_texts, "name long, text binary").join(active, "name", "left_semi")
+        left = packed.staged(left.dropDuplicates(["name"]), f"{path}/{i}-left")
+        if i == star_rounds:  # all pairs that are not connected yet
+            label = smallest_member(_all(links)).select(F.col("node").alias("name"), "component")
+            left = left.join(label, "name", "left").select("name", "text", F.coalesce("component", "name").alias("label"))
+        found = candidates(left, buckets, common, SMALL if i < star_rounds else None)
+    return _all(links)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """`doc_id`, `n_shingles`, and `component_id`: the smallest id that links reach."""
-    spark = docs.sparkSession
-    path = work_path(spark, "jaccard")
+    path = work_path(docs.sparkSession, "jaccard")
     plain = docs.selectExpr(f"cast(`{id_column}` as bigint) AS doc_id", f"`{text}` AS text")
-    plain.mapInArrow(_named(False), "doc_id long, name long, n_shingles long").write.parquet(f"{path}/rows")
-    rows = spark.read.parquet(f"{path}/rows")
-    links = _links(plain.where("doc_id IS NOT NULL"), path)
+    rows = plain.mapInArrow(_rows, "doc_id long, name long, n_shingles long, sketch binary, often binary, counts binary")
+    rows = packed.staged(rows, f"{path}/rows")
+    sketch = rows.where("n_shingles >= 3").groupBy("name").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    links = _links(plain.where("doc_id IS NOT NULL"), path, common_shingles(rows), sketch)
     # Equal sets are one node: the smallest id that has the set.
     node = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("node"))
     a, b = node.select(F.col("name").alias("a"), F.col("node").alias("x")), node.select(F.col("name").alias("b"), F.col("node").alias("y"))

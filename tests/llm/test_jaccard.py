@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -71,8 +72,9 @@ def test_linked_sets_share_a_signature(size):
         sets = jaccard.shingle_sets(pa.array([" ".join(first), " ".join(second)]))
         assert [len(s) for s in sets] == [len(a), len(b)]
         if 100 * len(a & b) >= 75 * len(a | b) and a != b:
-            keys, owners = jaccard.signatures(sets)
-            assert set(keys[owners == 0]) & set(keys[owners == 1])
+            for common in (None, sets[0][::2], sets[0], sets[1][:3]):
+                keys, owners = jaccard.signatures(sets, None if common is None else np.sort(common))
+                assert set(keys[owners == 0]) & set(keys[owners == 1])
 
 
 def test_families_of_copies_and_half_similar_texts(spark):
@@ -90,9 +92,11 @@ def test_families_of_copies_and_half_similar_texts(spark):
     assert sorted(map(tuple, got)) == sorted(brute(list(enumerate(texts))))
 
 
-def test_open_pairs_after_the_last_star_round(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "STAR_ROUNDS", 1)
-    monkeypatch.setattr(jaccard._links, "__defaults__", (1,))
+@pytest.mark.parametrize("rounds, small", [(1, 2), (4, 2), (4, 3)])
+def test_stars_and_the_pairs_after_the_last_round(spark, monkeypatch, rounds, small):
+    monkeypatch.setattr(jaccard._links, "__defaults__", (rounds,))
+    monkeypatch.setattr(jaccard, "SMALL", small)
+    monkeypatch.setattr(jaccard.candidates, "__defaults__", (small,))
     test_families_of_copies_and_half_similar_texts(spark)
 
 
