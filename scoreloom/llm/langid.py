@@ -7,7 +7,8 @@ For each language: log posterior = log prior of the text's host
     + log P(address suffix | language) for the suffix of the address.
 
 Host priors are smoothed hierarchically: a host's language counts lean on its domain's, and
-the domain's on the whole table's. All tables (trigrams, suffixes, hosts) are grouped aggregates
+the domain's on the whole table's. A host that is its own domain leans once, and a host whose
+rows declare nothing has its domain's prior. All tables (trigrams, suffixes, hosts) are grouped aggregates
 over all rows by their declared language; rows that declare none add nothing to them. How often
 a declaration errs is a constant, since it cannot be learned from declarations.
 
@@ -181,9 +182,26 @@ def identify(
 
     table = F.array(*[F.lit(float(x)) for x in prior])
     listed = F.array(*[F.col(f"l{i}") for i in range(k)])
-    domains = known.where("domain IS NOT NULL").groupBy("domain").agg(*count).select("domain", lean(listed, table).alias("above"))
-    hosts = known.where("host IS NOT NULL").groupBy("host", "domain").agg(*count)
-    hosts = packed.staged(hosts.join(domains, "domain").select("host", lean(listed, F.col("above")).alias("prior")), f"{path}/hosts")
+    domains = plain.where("domain IS NOT NULL").groupBy("domain").agg(*count).select("domain", lean(listed, table).alias("above"))
+    hosts = plain.where("host IS NOT NULL").groupBy("host", "domain").agg(*count).join(domains, "domain")
+    own_prior = F.when(F.col("host") == F.col("domain"), F.col("above")).otherwise(lean(listed, F.col("above")))
+    hosts = packed.staged(hosts.select("host", own_prior.alias("prior")), f"{path}/hosts")
     joined = rows.join(hosts, "host", "left").select("_row", "text", "declared", "suffix", "prior")
     schema = joined.select("_row").schema.add("language", "string").add("posterior", "double").add("fit", "double").add("kept", "boolean")
     return joined.mapInArrow(_fuse(model, errs, ends, prior, least_posterior, least_fit), schema).withColumnRenamed("_row", "row")
+
+
+def page_evidence(pages: DataFrame) -> DataFrame:
+    """`page_id`, `text`, and what a page says besides: `lang` of its html tag, `host` and `suffix` of its address.
+
+    The text is what stands outside tags, comments, scripts and styles; entities part words.
+    Addresses without a host, or whose host does not end in a name, have null there.
+    """
+    named = lambda c, pattern: F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
+    host = named(F.lower("url"), r"^\s*(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:@\[\]\s]+)")
+    text = F.regexp_replace("html", r"(?s)<!--.*?(?:-->|\z)", " ")
+    text = F.regexp_replace(text, r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)", " ")
+    text = F.regexp_replace(F.regexp_replace(text, r"<[/!?a-zA-Z][^>]*>", " "), r"&#?[0-9A-Za-z]+;", " ")
+    out = pages.select("page_id", text.alias("text"), named("html", r"(?i)<html\b[^>]*?[\s:]lang\s*=\s*[\"']?([a-z0-9_-]+)").alias("lang"),
+                       F.rtrim(host, F.lit(".")).alias("host"))
+    return out.withColumn("suffix", named("host", r"\.([a-z][a-z0-9-]*)$"))

@@ -106,3 +106,11 @@ def op8_language_id(spark, sf_dir):
     """The language of every document; `kept` is false where none is likely enough."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return langid.identify(docs).select(F.col("row.doc_id").alias("doc_id"), "language", "posterior", "fit", "kept")
+
+
+@query()
+def op8_page_language(spark, sf_dir):
+    """The language of every page by its text, html tag, address suffix and host."""
+    pages = langid.page_evidence(table(spark, sf_dir, "pages"))
+    scored = langid.identify(pages, host="host", suffix="suffix")
+    return scored.select(F.col("row.page_id").alias("page_id"), "language", "posterior", "fit", "kept")

@@ -69,3 +69,39 @@ def test_awkward_rows(spark, clash):
     assert langid.identify(docs(spark, [])).count() == 0
     none = langid.identify(docs(spark, ["some text", None])).collect()
     assert [(r.language, r.kept) for r in none] == [(None, False)] * 2
+
+
+def test_every_page_has_its_four_kinds_of_evidence(spark, sf_dir):
+    got = {r.page_id: r for r in entry.queries()["op8_page_language"](spark, sf_dir).collect()}
+    read = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    seen = {r.page_id: r for r in langid.page_evidence(read).collect()}
+    assert set(got) == set(seen) and len(got) == read.count()
+    assert all(r.lang and r.text.strip() and r.host.endswith(f".{r.suffix}") for r in seen.values())
+    assert np.mean([got[i].language == r.lang for i, r in seen.items()]) > 0.95
+
+
+def test_evidence_of_awkward_pages(spark):
+    rows = [
+        ("http://u:p@News.Example.DE:80/x", '<!-- <b>no</b> --><HTML data-lang="xx" class=a LANG=de-AT><style>p{}</style><p>ein&nbsp;Satz <script>var a="</p>"</script>1 < 2'),
+        ("//1.2.3.4/x", "<html xml:lang='fr'><!-- open"), ("no address", "<html>"), ("https://[::1]:8/", None), (None, ""), ("ftp://a.co./", "x"),
+    ]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    got = [(r.lang, r.host, r.suffix, r.text and " ".join(r.text.split())) for r in langid.page_evidence(frame).orderBy("page_id").collect()]
+    assert got == [
+        ("de-AT", "news.example.de", "de", "ein Satz 1 < 2"), ("fr", "1.2.3.4", None, ""), (None, None, None, ""), (None, "[::1]", None, None),
+        (None, None, None, ""), (None, "a.co", "co", "x"),
+    ]
+
+
+def test_a_host_that_is_its_own_domain_leans_once(spark):
+    rows = [("the cat and the dog", "en", "one", None)] * 30 + [("der hund und die katze", "de", "two", None)] * 30
+    rows += [("the cat and the dog", "en", "a.x.com", None)] * 30 + [("123", None, h, None) for h in ("one", "b.x.com")]
+    got = langid.identify(spark.createDataFrame(rows + [("e", None, "one", None), ("e", None, "b.x.com", None)], PAGES), host="host")
+    prior = {(r.host, r.text): r.posterior for r in got.select("row.host", "row.text", "posterior", "language").collect()}
+    # Letters aside, (30 + 20 * 61 / 92) / 50 of "one" is English, and so is it of "b.x.com", which has its domain's prior.
+    assert prior["one", "e"] == pytest.approx(prior["b.x.com", "e"])
+    share = (30 + 20 * 61 / 92) / 50
+    model = langid._learn(spark.createDataFrame(rows, PAGES).selectExpr("text", "lang AS declared"), f"{langid.work_path(spark, 'own')}")
+    text = model.evidence(pa.array(["e"]))[0][0]
+    odds = np.exp(text[1] - text[0]) * share / (1 - share)
+    assert prior["one", "e"] == pytest.approx(odds / (1 + odds))
