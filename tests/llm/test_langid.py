@@ -105,3 +105,36 @@ def test_a_host_that_is_its_own_domain_leans_once(spark):
     text = model.evidence(pa.array(["e"]))[0][0]
     odds = np.exp(text[1] - text[0]) * share / (1 - share)
     assert prior["one", "e"] == pytest.approx(odds / (1 + odds))
+
+
+def tongues(spark, n):
+    """n languages of three own words each, the later the rarer; one row of each declares nothing."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda i, j: "".join(letters[(i * 7 + j * 11 + s * (1 + i // 26 + j)) % 26] for s in range(6))
+    rows = [(" ".join(word(i, j) for j in range(3)), f"t{letters[i // 26]}{letters[i % 26]}") for i in range(n)]
+    return spark.createDataFrame([(t, said, i) for t, i in rows for said in [i] * (3 if i > "tc" else 6) + [None]], "text string, lang string, own string")
+
+
+@pytest.mark.parametrize("most", [None, 0])
+def test_more_languages_than_any_bound(spark, monkeypatch, most):
+    if most is not None:
+        monkeypatch.setattr(langid, "MOST_PAIRS", most)
+    got = langid.identify(tongues(spark, 75), host=None).select("row.*", "language", "kept").collect()
+    assert len({r.language for r in got}) == 75 and all(r.language == r.own and r.kept for r in got)
+
+
+def test_pairs_by_a_join_score_the_same(spark, sf_dir, monkeypatch):
+    scored = lambda name: sorted((r[0], r.language, round(r.posterior, 9), round(r.fit, 9), r.kept) for r in entry.queries()[name](spark, sf_dir).collect())
+    want = scored("op8_page_language")
+    monkeypatch.setattr(langid, "MOST_PAIRS", 0)
+    monkeypatch.setattr(langid, "CELLS", 40)
+    monkeypatch.setattr(langid, "ENTRIES", 50)
+    assert scored("op8_page_language") == want
+
+
+def test_regions_are_no_rivals(spark):
+    en, de = "the cat and the dog with this house", "der hund und die katze mit diesem haus"
+    rows = [(en, x) for x in ("en", "en-US", " EN_gb ", "en-latn-us")] * 5 + [(de, x) for x in ("de", "de-AT", "")] * 5
+    got = langid.identify(spark.createDataFrame(rows, "text string, lang string"), host=None).select("row.*", "language", "posterior").collect()
+    assert len(got) == 35 and {(r.text, r.language) for r in got} == {(en, "en"), (de, "de")}
+    assert min(r.posterior for r in got) > 0.99
