@@ -23,8 +23,11 @@ paired with the smallest, the leader, so that a group of near copies costs its s
 its square. Pairs are ruled out by an exact bound on sketches, and the rest verified on whole
 texts. Verified members of a star are in their leader's component. The others, and the members
 of stars with a half-similar set (by the triangle inequality of the Jaccard distance only these
-can still matter), go into the next round; after `STAR_ROUNDS` all pairs that share a
-signature and are not in one component yet are verified.
+can still matter), go into the next round. After `STAR_ROUNDS` the open sets meet by prefixes: of
+shingles ordered from rare to common among the open sets, linked sets share one within their first quarters,
+at places that leave enough shingles behind them (`open_pairs`). What sets of a family have in common is
+common, so sets that are alike but not linked rarely meet. Sets of one component make no pair.
+A group of such a shingle goes out in pieces of at most twice `PIECE` sets, dealt over all tasks.
 
 Defined results: a text without words has no shingles and links with nothing; with fewer
 than five words the whole sequence is its one shingle; rows of a null id count, but link
@@ -52,6 +55,8 @@ STAR_ROUNDS = 1
 SMALL = 8
 COMMON, COMMON_IN_BLOCK = 100_000, 3
 SKETCH_BITS = 1024
+PIECE = 512
+RARITY_BITS = 20  #: shingles are counted in so many classes; any counts give the same links
 _U = np.uint64
 _ODD = (_U(0xD1342543DE82EF95), _U(0xAF251AF3B0F025B5), _U(0xB564EF22EC7AECE5))
 
@@ -140,7 +145,7 @@ def signatures(sets: list[np.ndarray], common: np.ndarray | None = None) -> tupl
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def _ties(keys: np.ndarray, names: np.ndarray, labels: np.ndarray, small: int | None) -> np.ndarray:
+def _ties(keys: np.ndarray, names: np.ndarray, labels: np.ndarray, small: int) -> np.ndarray:
     """Rows (a, b, big) of the sets that share a signature: all pairs of groups of at most
     `small` sets; of bigger groups the pairs with the smallest set, marked big. Sets of
     one label are connected already and make no pair."""
@@ -153,7 +158,7 @@ def _ties(keys: np.ndarray, names: np.ndarray, labels: np.ndarray, small: int |
     start[1:] = keys[1:] != keys[:-1]
     group = np.cumsum(start) - 1
     size = np.bincount(group)[group] if len(keys) else group
-    big = np.zeros(len(keys), bool) if small is None else size > small
+    big = size > small
     leader = names[start][group] if len(keys) else names
     member = big & ~start
     out = [np.stack([leader[member], names[member], np.ones(int(member.sum()), np.uint64)], 1)]
@@ -193,7 +198,7 @@ def _signature_messages(buckets: int, common: np.ndarray):
     return send
 
 
-def _meet(small: int | None):
+def _meet(small: int):
     def meet(table: pa.Table) -> pa.Table:
         """Sets of one bucket's signatures over all blocks."""
         keys, names, labels = [], [], []
@@ -222,13 +227,133 @@ def _plain(column: pa.Array) -> pa.Array:
     return column
 
 
-def candidates(texts: DataFrame, buckets: int, common: np.ndarray, small: int | None = SMALL) -> DataFrame:
+def candidates(texts: DataFrame, buckets: int, common: np.ndarray, small: int = SMALL) -> DataFrame:
     """Distinct (a, b, big) of sets that share a signature; `big` if in a star of many sets."""
     asked = texts.select(*[c for c in ("text", "label") if c in texts.columns]).mapInArrow(_signature_messages(buckets, common), _ASK)
     met = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_meet(small), "a long, b long, big boolean")
     return met.groupBy("a", "b").agg(F.max("big").alias("big"))
 
 
+def _classes(shingles: np.ndarray) -> np.ndarray:
+    return (packed.mix(shingles + _ODD[0]) >> _U(64 - RARITY_BITS)).astype(np.int64)
+
+
+def _rarity(batches):
+    for _, rows in packed.blocks(batches, "text", BLOCK_BYTES):
+        sets = shingle_sets(_plain(rows.column("text")))
+        kinds, n = np.unique(_classes(np.concatenate(sets)), return_counts=True)
+        yield pa.record_batch({"kind": pa.array(kinds, pa.int32()), "n": pa.array(n, pa.int64())})
+
+
+def _prefix_messages(buckets: int, counts: np.ndarray):
+    """The first shingles of each set from rare to common, with their places."""
+
+    def send(batches):
+        for _, rows in packed.blocks(batches, "text", BLOCK_BYTES):
+            sets = shingle_sets(_plain(rows.column("text")))
+            names = rows.column("name").to_numpy().view(np.uint64)
+            labels = rows.column("label").to_numpy().view(np.uint64)
+            sizes = np.array([len(x) for x in sets], np.int64)
+            flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            order = np.lexsort((flat, counts[_classes(flat)], owner))
+            # Linked sets share 3/4 of either, so one of the first n - ceil(3 n / 4) + 1.
+            first = sizes - (3 * sizes + 3) // 4 + 1
+            at = order[packed.ragged(np.cumsum(sizes) - sizes, first)]
+            keys, owners, places = flat[at], owner[at], packed.ragged(np.zeros(len(sets), np.int64), first)
+            keys = packed.mix(keys + _ODD[1])
+            order = np.argsort(keys)
+            keys, owners, places = keys[order], owners[order], places[order]
+            out = []
+            for bucket, s in packed.bucket_ranges(keys, buckets):
+                used, local = np.unique(owners[s], return_inverse=True)
+                of_sets = [packed.pack(x[used]) for x in (names, labels, sizes)]
+                out.append((bucket, packed.pack_sorted(keys[s]), packed.pack(local, np.uint32), packed.pack(places[s], np.uint32), *of_sets))
+            columns = list(zip(*out)) if out else [[]] * 7
+            yield pa.record_batch([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=_PREFIXES)
+
+    return send
+
+
+_PREFIXES = ["bucket", "keys", "owners", "places", "names", "labels", "sizes"]
+_PIECES = "across int, groups binary, names binary, labels binary, sizes binary, places binary"
+
+
+def _pieces(table: pa.Table) -> pa.Table:
+    """Groups of one shingle: small ones together, big ones cut into parts and each two parts.
+
+    `across` is the number of sets of the first part, or 0 where a piece is paired within its groups.
+    """
+    parts = []
+    for r in table.to_pylist():
+        local = packed.unpack(r["owners"], np.uint32)
+        of_sets = [packed.unpack(r[c], kind)[local] for c, kind in (("names", np.uint64), ("labels", np.uint64), ("sizes", np.int64))]
+        parts.append((packed.unpack_sorted(r["keys"]), *of_sets, packed.unpack(r["places"], np.uint32)))
+    keys, names, labels, sizes, places = map(np.concatenate, zip(*parts))
+    order = np.lexsort((names, sizes, labels, keys))
+    keys, names, labels, sizes, places = (x[order] for x in (keys, names, labels, sizes, places))
+    start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    length = np.diff(np.append(start, len(keys)))
+    groups = np.repeat(np.arange(len(start)), length)
+    out = []
+
+    def put(at: np.ndarray, across: int):
+        out.append((across, packed.pack(groups[at], np.uint32), *[packed.pack(x[at]) for x in (names, labels, sizes)], packed.pack(places[at], np.uint32)))
+
+    few = np.flatnonzero((length > 1) & (length <= PIECE))
+    ends, a = np.cumsum(length[few]), 0
+    while a < len(few):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + PIECE, "right")))
+        put(packed.ragged(start[few[a:b]], length[few[a:b]]), 0)
+        a = b
+    for g in np.flatnonzero(length > PIECE):
+        cut = [np.arange(x, min(x + PIECE, start[g] + length[g])) for x in range(start[g], start[g] + length[g], PIECE)]
+        span = [(sizes[x].min(), sizes[x].max(), labels[x[0]], labels[x[-1]]) for x in cut]  # in order of labels
+        for i, (least, most, low, high) in enumerate(span):
+            for j in range(i, len(cut)):
+                if low == span[j][3] or 4 * most < 3 * span[j][0] or 4 * span[j][1] < 3 * least:
+                    continue  # one component, or no two sets of like size
+                put(cut[i] if i == j else np.concatenate([cut[i], cut[j]]), 0 if i == j else len(cut[i]))
+    columns = list(zip(*out)) if out else [[]] * 6
+    kinds = [pa.int32(), *[pa.binary()] * 5]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["across", "groups", "names", "labels", "sizes", "places"])
+
+
+def _pairs_of_pieces(batches):
+    for batch in batches:
+        for r in batch.to_pylist():
+            names, labels = packed.unpack(r["names"], np.uint64), packed.unpack(r["labels"], np.uint64)
+            sizes, places = packed.unpack(r["sizes"], np.int64), packed.unpack(r["places"], np.uint32).astype(np.int64)
+            groups, n = packed.unpack(r["groups"], np.uint32), len(names)
+            few = np.arange(n)
+            for step in range(1, n):
+                few = few[few + step < n]
+                x, y = few, few + step
+                if r["across"]:
+                    use = (x < r["across"]) & (y >= r["across"])
+                else:
+                    x = few = few[groups[few] == groups[few + step]]
+                    y, use = x + step, np.ones(len(x), bool)
+                    if not len(x):
+                        break
+                # At the first shingle that linked sets share, both have enough left.
+                left = np.minimum(sizes[x] - places[x], sizes[y] - places[y])
+                use &= (labels[x] != labels[y]) & (7 * left >= 3 * (sizes[x] + sizes[y]))
+                if use.any():
+                    a, b = np.minimum(names[x[use]], names[y[use]]), np.maximum(names[x[use]], names[y[use]])
+                    yield pa.record_batch({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64)), "big": pa.array(np.zeros(len(a), bool))})
+
+
+def open_pairs(texts: DataFrame, buckets: int) -> DataFrame:
+    """Distinct (a, b, big) of sets of different labels, with every pair that links; none is big."""
+    kinds = texts.select("text").mapInArrow(_rarity, "kind int, n long").groupBy("kind").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << RARITY_BITS, np.int64)
+    counts[kinds.column("kind").to_numpy()] = kinds.column("n").to_numpy()
+    asked = texts.select("name", "text", "label").mapInArrow(_prefix_messages(buckets, counts), f"bucket int, {' binary, '.join(_PREFIXES[1:])} binary")
+    pieces = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_pieces, _PIECES)
+    pairs = pieces.repartition(buckets).mapInArrow(_pairs_of_pieces, "a long, b long, big boolean")
+    return pairs.distinct()
+
+
 def _rows(batches):
     """Name and size of each row's set, and once per block the shingles of several of its sets."""
     for _, rows in packed.blocks(batches, "text", BLOCK_BYTES):
@@ -346,10 +471,10 @@ def _links(docs: DataFrame, path: str, common: np.ndarray, sketch: DataFrame, st
         active = packed.staged(active.select(F.col("b").alias("name")).distinct(), f"{path}/{i}-active")
         left = docs.select("text").mapInArrow(_texts, "name long, text binary").join(active, "name", "left_semi")
         left = packed.staged(left.dropDuplicates(["name"]), f"{path}/{i}-left")
-        if i == star_rounds:  # all pairs that are not connected yet
+        if i == star_rounds:  # pairs that are not connected yet
             label = smallest_member(_all(links)).select(F.col("node").alias("name"), "component")
             left = left.join(label, "name", "left").select("name", "text", F.coalesce("component", "name").alias("label"))
-        found = candidates(left, buckets, common, SMALL if i < star_rounds else None)
+        found = candidates(left, buckets, common, SMALL) if i < star_rounds else open_pairs(left, buckets)
     return _all(links)
 
 
