@@ -1,0 +1,12 @@
+"""Registered queries of the operators that compare or sample whole corpora."""
+
+from __future__ import annotations
+
+from scoreloom.llm import simhash
+from scoreloom.llm.registry import query, table
+
+
+@query()
+def op12_simhash_near_dedup(spark, sf_dir):
+    """Fingerprint and near-duplicate class of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
