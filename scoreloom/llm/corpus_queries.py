@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scoreloom.llm import simhash
+from scoreloom.llm import resampling, simhash
 from scoreloom.llm.registry import query, table
 
 
@@ -10,3 +10,9 @@ from scoreloom.llm.registry import query, table
 def op12_simhash_near_dedup(spark, sf_dir):
     """Fingerprint and near-duplicate class of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_importance_resampling(spark, sf_dir):
+    """Every document's weight towards the benchmark texts, and its rank among the drawn quarter."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

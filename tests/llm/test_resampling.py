@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from scoreloom.llm import resampling
+from tests.llm.helpers import awkward, docs
+
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def features(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    return words, words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+
+
+def bucket(feature):
+    return zlib.crc32(feature.encode()) % 10_000
+
+
+def brute(rows, targets):
+    s, t = (Counter(bucket(f) for x in texts for f in features(x)[1]) for texts in ([x for _, x in rows], targets))
+    n_s, n_t = sum(s.values()), sum(t.values())
+    gain = [
+        math.floor(1000 * math.log((t[b] + 1) * (n_s + 10_000) / ((s[b] + 1) * (n_t + 10_000)))) for b in range(10_000)
+    ]
+    out = []
+    for i, text in rows:
+        words, found = features(text)
+        weight = sum(gain[bucket(f)] for f in found) // len(found) if found else 0
+        h = int(hashlib.sha256(f"7:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append([i, len(found), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None, len(words)])
+    able = sorted((r for r in out if r[5] >= 20), key=lambda r: (-r[3], r[0] is None, r[0]))
+    for rank, row in enumerate(able[: 25 * len(able) // 100], 1):
+        row[4] = rank
+    return sorted((tuple(r[:5]) for r in out), key=str)
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    targets = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    got = entry.queries()["op13_importance_resampling"](spark, sf_dir)
+    assert got.columns[:5] == ["doc_id", "n_features", "weight", "score", "rank"]
+    assert {d for _, d in got.dtypes[:5]} == {"bigint"}
+    got = [tuple(r)[:5] for r in got.collect()]
+    assert sorted(got, key=str) == brute(rows, targets)
+    assert sum(r[4] is not None for r in got) > 20
+
+
+@pytest.mark.parametrize("segment", [1, 9, 1 << 16])
+def test_lines_and_parts_of_lines(spark, monkeypatch, segment):
+    """Pairs across lines, blank lines, other separators and cuts inside a line change nothing."""
+    monkeypatch.setattr(resampling.segments, "__defaults__", (segment,))
+    texts = ["A b\nC\n\n-\nd e\r\nf", "ein Wört über\nzwei", "same line\nsame line\nsame line", "x" * 40 + "\n" + "y z " * 40, "\n", "1\n"]
+    counts = Counter(bucket(f) for t in texts for f in features(t)[1])
+    own = resampling.Block([t.encode() for t in texts])
+    found = Counter()
+    for words, n in zip(own.words, __import__("numpy").bincount(own.lines, minlength=len(own.words))):
+        for b in resampling.feature_buckets(words, 10_000):
+            found[b] += int(n)
+    for number in own.across:
+        found[bucket(b" ".join(own.pairs[number]).decode())] += 1
+    assert +found == counts
+
+
+def test_awkward_and_empty_tables(spark):
+    frame = awkward(spark)
+    frame = frame.unionByName(docs(spark, [" ".join(f"w{i}" for i in range(25))]).withColumn("doc_id", F.lit(None).cast("long")))
+    frame = frame.withColumn("rank", F.lit("x")).withColumn("weight", F.lit(1)).withColumn("_range", F.lit(2))
+    target = spark.createDataFrame([(1, "w1x1 w2x2"), (2, None)], "item_id long, text string")
+    got = resampling.resample(frame, target).collect()
+    want = brute([(r.doc_id, r.text) for r in frame.collect()], ["w1x1 w2x2", None])
+    assert sorted((tuple(r)[:5] for r in got), key=str) == want
+    assert resampling.resample(frame.limit(0), target).count() == 0
+    assert resampling.resample(frame, target.limit(0)).count() == frame.count()
+
+
+def test_copies_and_hot_lines_count_once_each(spark):
+    texts = ["the same line again\nthe same line again"] * 300 + ["another"] * 50
+    got = {r.bucket: r.n for r in resampling.bucket_counts(docs(spark, texts).repartition(7)).collect()}
+    assert got == Counter(bucket(f) for t in texts for f in features(t)[1])
+
+
+def test_ranks_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(resampling, "RANGE", 100)
+    frame = spark.range(1000).select((F.col("id") % 17).alias("score"), "id")
+    path = resampling.work_path(spark, "test")
+    got = resampling.ranked(frame, [F.col("score").desc(), F.col("id")], 1000, path).collect()
+    assert [r.rank for r in sorted(got, key=lambda r: (-r.score, r.id))] == list(range(1, 1001))
