@@ -173,7 +173,7 @@ def distinctive_terms(kept: DataFrame, top: int = TOP, parts: int | None = None)
 
 
 def _distances(width: int):
-    """Sums of |p - p'| over the terms of one chunk, for the pairs of sources of two blocks."""
+    """Sums of |p - p'| over the terms of one chunk that some source of two blocks has, and their number."""
 
     def run(key, sources: pa.Table, cells: pa.Table) -> pa.Table:
         lang, chunk, low, high = (k.as_py() for k in key)
@@ -193,6 +193,7 @@ def _distances(width: int):
         return pa.table({
             "lang": pa.array([lang] * n, pa.string()), "a": pa.array(a[keep], pa.int64()),
             "b": pa.array(b[keep], pa.int64()), "value": pa.array(sums.reshape(-1)[keep], pa.int64()),
+            "seen": pa.array([count] * n, pa.int64()),
         })
 
     return run
@@ -213,19 +214,22 @@ def source_distances(kept: DataFrame, groups: DataFrame, languages: DataFrame) -
     )
     keys = ["lang", "chunk", "low", "high"]
     chunked = beside.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    cells = kept.join(beside.select("lang", "source", "number", "low", "high", "chunks"), _GROUP)
+    cells = kept.select(*_GROUP, "term", "p").join(beside.select(*_GROUP, "number", "low", "high", "chunks"), _GROUP)
     cells = cells.withColumn("chunk", F.pmod(F.xxhash64("term"), F.col("chunks")))
     cells = cells.select(*(F.col(c).alias(c) for c in [*keys, "number", "term", "p"]))  # columns of their own for the cogroup
     found = (
         chunked.select(*keys, "number", "none").groupBy(*keys)
         .cogroup(cells.groupBy(*keys))
-        .applyInArrow(_distances(SOURCES), "lang string, a long, b long, value long")
+        .applyInArrow(_distances(SOURCES), "lang string, a long, b long, value long, seen long")
     )
-    sums = found.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
-    both = sums.unionByName(sums.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "value"))
-    names = groups.select("lang", "number", "source")
-    named = both.join(names.withColumnRenamed("number", "a"), ["lang", "a"])
-    named = named.join(names.select("lang", F.col("number").alias("b"), F.col("source").alias("item")), ["lang", "b"])
+    sums = found.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))
+    both = sums.unionByName(sums.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "value", "seen"))
+    named = both.join(groups.select("lang", F.col("number").alias("a"), "source", F.col("none").alias("none_a")), ["lang", "a"])
+    other = groups.select("lang", F.col("number").alias("b"), F.col("source").alias("item"), F.col("none").alias("none_b"))
+    named = named.join(other, ["lang", "b"]).join(languages.select("lang", "terms"), "lang")
+    # Terms that no source of the two blocks has differ like the shares of a lacking term.
+    unseen = (F.col("terms") - F.col("seen")) * F.abs(F.col("none_a") - F.col("none_b"))
+    named = named.withColumn("value", F.col("value") + unseen)
     best = Window.partitionBy(*_GROUP).orderBy(F.col("value").desc(), "item")
     return named.select("lang", "source", "item", "value").withColumn("rank", F.row_number().over(best))
 
@@ -253,7 +257,7 @@ def audit(
     none = F.when(F.col("terms") > 0, share(zero, F.col("group_n"), F.col("terms"))).otherwise(zero)
     groups = packed.staged(groups.withColumn("none", none), f"{path}/groups")
     languages = groups.groupBy("lang").agg(F.max("terms").alias("terms"), F.max("number").alias("last")).select(
-        "lang", F.ceil(F.greatest("terms", F.lit(1)) / CHUNK).alias("chunks"), (F.floor(F.col("last") / SOURCES) + 1).alias("blocks")
+        "lang", "terms", F.ceil(F.greatest("terms", F.lit(1)) / CHUNK).alias("chunks"), (F.floor(F.col("last") / SOURCES) + 1).alias("blocks")
     )
     shares = kept.join(groups.select(*_GROUP, "group_n", "terms", "lang_n"), _GROUP).select(
         *_GROUP, "term", "n", "total",
