@@ -40,7 +40,7 @@ LEAST_DOCS = 30
 TOP = 50
 BLOCK = 8 << 20  # bytes of text in which terms are counted together
 SOURCES = 256  # sources of a block of the distance report
-CHUNK = 20_000  # terms of a chunk of it
+CHUNK = 1_000  # terms of a chunk of it
 STEP = 256  # terms that the skyband compares at a time
 _GROUP = ["lang", "source"]
 
