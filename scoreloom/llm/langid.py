@@ -40,7 +40,7 @@ from scoreloom.session import work_path
 
 MOST_PAIRS = 4_000_000  #: (language, trigram) pairs, 16 bytes each, in a closure
 ENTRIES, CELLS = 4 << 20, 2 << 20  #: numbers that a task expands at once; rows by languages of a part of a block
-MOST_TEXT = 60.0
+MOST_TEXT = 50.0  #: trigrams' worth of evidence that a text gives at most
 BLOCK_BYTES = 2 << 20
 LEAN = 20.0  #: rows' worth of the level above in each level of the host prior
 LEAST_POSTERIOR, LEAST_FIT = 0.5, 5.0
@@ -186,9 +186,10 @@ def _fuse(totals: np.ndarray, least_posterior: float, least_fit: float):
 
         text, n = model.evidence(rows.column("text"))
         best = text.max(1)
-        # Trigrams overlap: beyond a point more of them say little more.
+        # Trigrams overlap: beyond a point more of them say little more. What counts is how
+        # many there are, so that languages unlike the text have no say in its rivals' odds.
         z = text - best[:, None]
-        z *= np.minimum(1.0, MOST_TEXT / np.maximum(-z.min(1), 1e-9))[:, None]
+        z *= np.minimum(1.0, MOST_TEXT / np.maximum(n, 1))[:, None]
         said = np.array([model.place.get(x, k) for x in rows.column("declared").to_pylist()], np.int64)
         told = np.flatnonzero(said < k)
         z[told] += wrong
