@@ -61,6 +61,7 @@ def blocks(batches, text: str, limit: int):
         for rows in slices(batch, lengths.to_numpy(zero_copy_only=False).astype(np.int64), limit):
             yield base + number, rows
             number += 1
+    pa.default_memory_pool().release_unused()  # workers stay alive and wait for other tasks
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +122,7 @@ _VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 
 def byte_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums from which `span_hash` takes the hash of any span of the bytes."""
-    n = 1 << max(16, int(len(data)).bit_length())
+    n = 1 << max(16, int(max(0, len(data) - 1)).bit_length())
     up, down = _powers(n)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_VALUES[data] * up[: len(data)], out=sums[1:])

@@ -23,7 +23,7 @@ works on disk.
 
 Defined results: a null text is empty; shorter texts lose nothing; repeated rows are equal
 texts and remove each other; null ids are rows like any other; only the id column is kept.
-`kept` may end inside a character, so it is binary.
+`kept` may end inside a character, so it is binary; `whole` takes characters as a whole.
 """
 
 from __future__ import annotations
@@ -31,13 +31,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import xxhash
+from pyspark.sql import DataFrame
 
 from scoreloom.llm import induced, packed
 
 LENGTH, GRAM = 200, 80
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+PART = 1 << 18  #: windows that are hashed at a time
 BUCKET_BYTES = 4 << 20
 SORT_BYTES = 1 << 20
 HOT = 3_000
@@ -62,15 +63,32 @@ def _frame(columns: dict, schema: str, n: int) -> pa.RecordBatch:
     return pa.record_batch(arrays, names=[c for c, _ in fields])
 
 
-def runs_of(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """Start, number of windows, anchor gram and span hash of each run of windows with one anchor."""
-    n = len(data)
-    first, stop = offsets[:-1], offsets[1:] - length + 1
-    able = stop > first
-    first, stop = first[able], stop[able]
-    if not len(first):
+def runs_of(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM, part: int | None = None):
+    """Start, number of windows, anchor gram and span hash of each run of windows with one anchor.
+
+    Works on `part` windows at a time, so that a very long text takes no more memory than a
+    part; a run that a part's end cuts is two runs, whose windows meet all others as before.
+    """
+    part, found = part or PART, []
+    for at in range(0, len(data), part):
+        # Rows with windows that start in this part.
+        low = max(0, int(np.searchsorted(offsets, at, "right")) - 1)
+        high = min(int(np.searchsorted(offsets, at + part)), len(offsets) - 1)
+        first = np.maximum(offsets[low:high], at) - at
+        stop = np.minimum(offsets[low + 1 : high + 1] - length + 1, at + part) - at
+        able = stop > first
+        if able.any():
+            starts, *rest = _runs(data[at : at + part + length - 1], first[able], stop[able], length, gram)
+            found.append((starts + at, *rest))
+    if not found:
         none = np.zeros(0, np.uint64)
         return none.astype(np.int64), none.astype(np.int64), none, none
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _runs(data: np.ndarray, first: np.ndarray, stop: np.ndarray, length: int, gram: int):
+    """The runs of the windows that start at first[i] to stop[i] - 1."""
+    n = len(data)
     sums, down = packed.byte_sums(data)
     grams = packed.mix((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
     # The least gram, leftmost of equals: its place stands in the low bits.
@@ -192,10 +210,13 @@ def _send(buckets: int):
                 out.append((row["block"], bucket, packed.pack(entries, np.uint32), packed.pack(lengths, np.uint32), packed.pack(told_all[entries]), packed.pack(grams[entries]), packed.pack(text), None))
             if len(hot):
                 runs = row["one"][hot]
-                begin = packed.ragged(row["starts"][runs], row["sizes"][runs])
-                hashes = packed.span_hash(packed.byte_sums(row["data"]), begin, begin + LENGTH)
-                of = np.repeat(hot, row["sizes"][runs])
-                place = begin - np.repeat(row["starts"][runs], row["sizes"][runs])
+                sizes = row["sizes"][runs]
+                lengths = sizes + LENGTH - 1
+                text = row["data"][packed.ragged(row["starts"][runs], lengths)]
+                begin = packed.ragged(np.cumsum(lengths) - lengths, sizes)
+                hashes = packed.span_hash(packed.byte_sums(text), begin, begin + LENGTH)
+                of = np.repeat(hot, sizes)
+                place = packed.ragged(np.zeros(len(sizes), np.int64), sizes)
                 where = packed.bucket_of(hashes, buckets)
                 for b in np.unique(where).tolist():
                     single.setdefault(b, []).append((hashes[where == b], of[where == b], place[where == b]))
@@ -267,38 +288,64 @@ def _compare(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_frame({"block": [x[0] for x in out], "bucket": [x[1] for x in out], "windows": windows}, _TOLD, len(out))])
 
 
-def _cut(own: pa.Table, told: pa.Table) -> pa.Table:
-    row = _own(own)
-    data, offsets = row["data"], row["offsets"]
-    repeated = _told(told) & 3 == REPEATED
-    change = np.zeros(len(data) + 1, np.int32)
-    whole = repeated[row["entries"]]
-    np.add.at(change, row["starts"][whole], 1)
-    np.add.at(change, (row["starts"] + row["sizes"])[whole] + LENGTH - 1, -1)
-    found = told.filter(pc.is_valid(told.column("windows")))
-    for value in found.column("windows").to_pylist():
-        entry, place = packed.unpack(value, np.uint32).reshape(2, -1).astype(np.int64)
-        start = row["starts"][row["one"][entry]] + place
-        np.add.at(change, start, 1)
-        np.add.at(change, start + LENGTH, -1)
-    covered = np.cumsum(change[:-1]) > 0
-    edge = covered.copy()
-    edge[1:] &= ~covered[:-1]
-    edge[offsets[:-1][offsets[:-1] < len(data)]] = covered[offsets[:-1][offsets[:-1] < len(data)]]
-    count = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[offsets])
-    kept = data[~covered]
-    removed = count(covered)
-    bounds = np.concatenate([[0], np.cumsum(np.diff(offsets) - removed)])
-    flat = kept.tobytes()
-    return pa.table({
-        "doc_id": pa.array(row["docs"], pa.int64()), "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(removed, pa.int64()),
-        "n_spans": pa.array(count(edge), pa.int64()),
-        "kept": pa.array([flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary()),
-    })
-
-
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """`doc_id`, `n_bytes`, `n_removed`, `n_spans` and the `kept` bytes of every row."""
+def _whole_characters(data: np.ndarray, offsets: np.ndarray, covered: np.ndarray) -> np.ndarray:
+    """`covered` with every character whole that a covered byte belongs to."""
+    if not covered.any():
+        return covered
+    first = data & 0xC0 != 0x80
+    first[offsets[:-1][offsets[:-1] < len(data)]] = True
+    character = np.cumsum(first, dtype=np.int32)
+    gone = np.zeros(int(character[-1]) + 1, bool)
+    gone[character[covered]] = True
+    return gone[character]
+
+
+def _text_hash(data: np.ndarray) -> int:
+    """What `xxhash64` of Spark gives the whole text."""
+    return xxhash.xxh64_intdigest(data.tobytes(), 42)
+
+
+def _cut(whole: bool):
+    def cut(own: pa.Table, told: pa.Table) -> pa.Table:
+        row = _own(own)
+        data, offsets = row["data"], row["offsets"]
+        repeated = _told(told) & 3 == REPEATED
+        change = np.zeros(len(data) + 1, np.int32)
+        complete = repeated[row["entries"]]
+        np.add.at(change, row["starts"][complete], 1)
+        np.add.at(change, (row["starts"] + row["sizes"])[complete] + LENGTH - 1, -1)
+        found = told.filter(pc.is_valid(told.column("windows")))
+        for value in found.column("windows").to_pylist():
+            entry, place = packed.unpack(value, np.uint32).reshape(2, -1).astype(np.int64)
+            start = row["starts"][row["one"][entry]] + place
+            np.add.at(change, start, 1)
+            np.add.at(change, start + LENGTH, -1)
+        covered = np.cumsum(change, out=change)[:-1] > 0
+        if whole:
+            covered = _whole_characters(data, offsets, covered)
+        edge = covered.copy()
+        edge[1:] &= ~covered[:-1]
+        edge[offsets[:-1][offsets[:-1] < len(data)]] = covered[offsets[:-1][offsets[:-1] < len(data)]]
+        count = lambda mask: np.diff(np.append(np.int32(0), np.cumsum(mask, dtype=np.int32))[offsets]).astype(np.int64)
+        removed = count(covered)
+        bounds = np.concatenate([[0], np.cumsum(np.diff(offsets) - removed)])
+        flat = data[~covered].tobytes()
+        return pa.table({
+            "doc_id": pa.array(row["docs"], pa.int64()), "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(removed, pa.int64()),
+            "n_spans": pa.array(count(edge), pa.int64()),
+            "kept": pa.array([flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary()),
+            "text_hash": pa.array(np.array([_text_hash(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], _U).view(np.int64)),
+        })
+
+    return cut
+
+
+def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
+    """`doc_id`, `n_bytes`, `n_removed`, `n_spans`, the `kept` bytes and the `text_hash` of every row.
+
+    With `whole`, a character of which a byte is covered goes as a whole, so that `kept` is
+    UTF-8 text again and no other character is touched.
+    """
     plain = docs.selectExpr(f"cast(`{id_column}` as bigint) AS doc_id", f"`{text}` AS text")
     buckets = packed.parts(packed.text_size(plain), BUCKET_BYTES)
     split = plain.mapInArrow(_split(buckets), _BLOCK).repartition(buckets, "block")
@@ -308,10 +355,5 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     found = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_compare, _TOLD)
     answers = told.unionByName(found)
     return split.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+        _cut(whole), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, text_hash long"
     )
-
-
-def whole_characters(kept: Column) -> Column:
-    """Kept bytes as text; bytes of characters that were cut in part are left out."""
-    return F.replace(F.make_valid_utf8(kept.cast("string")), F.lit("\ufffd"), F.lit(""))

@@ -27,7 +27,7 @@ without a shuffle; a hot source or a group of copies costs what its rows cost.
 
 Defined results: null or empty texts get the calibrated score of no evidence; without labels of both
 classes every score is the share of toxic labels, 0 without any; a text with several labels
-is toxic if one of them is; repeated rows each return a row; only the id is kept.
+is toxic if one of them is; repeated rows each return a row, and are learned once; only the id is kept.
 """
 
 from __future__ import annotations
@@ -74,18 +74,28 @@ def pair_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
         return packed.mix(before * _ODD + packed.mix(word))
 
 
+_COUNTS = ["t", "o", "ta", "oa"]  #: toxic and ordinary, in all rows and in the quarter apart
+
+
 def _count_rows(batches):
-    """(before, word, stem, toxic count, ordinary count) of a block's distinct bigrams."""
+    """(h, w) of a block's distinct bigrams, word before and word, with `_COUNTS`."""
     for _, rows in packed.blocks(batches, "text", BLOCK_BYTES):
-        word, before, stem, bounds = words(rows.column("text"))
+        word, before, _, bounds = words(rows.column("text"))
         toxic = np.repeat(rows.column("toxic").to_numpy(zero_copy_only=False) == 1, np.diff(bounds))
-        pairs, at = np.unique(np.stack([before, word, stem], 1), axis=0, return_inverse=True) if len(word) else (np.zeros((0, 3), np.uint64), np.zeros(0, np.int64))
+        apart = np.repeat(rows.column("apart").to_numpy(zero_copy_only=False), np.diff(bounds))
+        pairs, at = np.unique(np.stack([before, word], 1), axis=0, return_inverse=True) if len(word) else (np.zeros((0, 2), np.uint64), np.zeros(0, np.int64))
         at = at.reshape(-1)
-        yield pa.record_batch({
-            "h": pa.array(pairs[:, 0].copy().view(np.int64)), "w": pa.array(pairs[:, 1].copy().view(np.int64)), "s": pa.array(pairs[:, 2].copy().view(np.int64)),
-            "toxic": pa.array(np.bincount(at[toxic], minlength=len(pairs)), pa.int64()),
-            "ordinary": pa.array(np.bincount(at[~toxic], minlength=len(pairs)), pa.int64()),
-        })
+        counts = [np.bincount(at[chosen], minlength=len(pairs)) for chosen in (toxic, ~toxic, toxic & apart, ~toxic & apart)]
+        own = [pa.array(pairs[:, i].copy().view(np.int64)) for i in range(2)]
+        yield pa.record_batch([*own, *[pa.array(c, pa.int64()) for c in counts]], names=["h", "w", *_COUNTS])
+
+
+def _word_stems(batches):
+    """(w, s) of a block's distinct words."""
+    for _, rows in packed.blocks(batches, "text", BLOCK_BYTES):
+        word, _, stem, _ = words(rows.column("text"))
+        word, at = np.unique(word, return_index=True)
+        yield pa.record_batch([pa.array(word.view(np.int64)), pa.array(stem[at].view(np.int64))], names=["w", "s"])
 
 
 class Model:
@@ -130,9 +140,12 @@ FEATURES = ("mean", "rate", "root", "strong", "hits", "hit_rate", "length")
 
 
 def _training(docs: DataFrame, labels: DataFrame, train: Column, id_column: str, text: str, most_rows: int) -> DataFrame:
+    """At most `most_rows` rows (_id, text, toxic). They are chosen by id and hash before any text moves."""
     marks = labels.where(F.col("toxic").isNotNull()).groupBy(F.col(id_column).cast("long").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = docs.where(train).select(F.col(id_column).cast("long").alias("_id"), F.col(text).alias("text")).join(marks, "_id")
-    return rows.orderBy(F.xxhash64("_id"), "_id", F.xxhash64("text")).limit(most_rows).select("_id", "text", "toxic")
+    rows = docs.where(train).select(F.col(id_column).cast("long").alias("_id"), F.xxhash64(text).alias("_h"), F.col(text).alias("text"))
+    chosen = rows.select("_id", "_h").distinct().join(marks, "_id").orderBy(F.xxhash64("_id"), "_id", "_h").limit(most_rows)
+    # The chosen keys are bounded by `most_rows`, 20 bytes each.
+    return rows.join(F.broadcast(chosen), ["_id", "_h"]).dropDuplicates(["_id", "_h"]).select("_id", "text", "toxic")
 
 
 def learn(
@@ -143,7 +156,11 @@ def learn(
     path = work_path(docs.sparkSession, "toxicity")
     rows = packed.staged(_training(docs, labels, train, id_column, text, most_rows), f"{path}/rows").repartition(packed.parts(most_rows, 4000), "_id")
     apart = F.pmod(F.xxhash64(F.lit("apart"), "_id"), F.lit(4)) == 0
-    model, trial = (_tables(x, f"{path}/{n}", most_entries) for n, x in (("all", rows), ("most", rows.where(~apart))))
+    # Both models' counts come from one pass: those of the quarter apart are columns of their own.
+    grams = packed.staged(_bigrams(rows.withColumn("apart", apart)), f"{path}/grams")
+    stems = packed.staged(_stems(rows), f"{path}/stems")
+    most = grams.select("h", "w", (F.col("t") - F.col("ta")).alias("t"), (F.col("o") - F.col("oa")).alias("o")).where("t + o > 0")
+    model, trial = (_tables(x, stems, most_entries) for x in (grams.select("h", "w", "t", "o"), most))
     share = rows.agg(F.avg("toxic")).first()[0]
     if not share or share >= 1 or not len(model.tables[0][0]):
         model.curve[-1] = -30.0 if not share else 30.0 if share >= 1 else np.log(share / (1 - share))
@@ -153,22 +170,30 @@ def learn(
     return model
 
 
-def _tables(rows: DataFrame, path: str, most_entries: int) -> Model:
-    """The Kneser-Ney differences learned from these rows."""
-    grams = rows.mapInArrow(_count_rows, "h long, w long, s long, toxic long, ordinary long").groupBy("h", "w", "s").agg(
-        F.sum("toxic").alias("t"), F.sum("ordinary").alias("o")
-    )
-    grams = packed.staged(grams, path)
+def _bigrams(rows: DataFrame) -> DataFrame:
+    """Distinct bigrams (h, w) of rows (text, toxic, apart), with `_COUNTS`."""
+    counted = rows.mapInArrow(_count_rows, f"h long, w long, {', '.join(f'{c} long' for c in _COUNTS)}")
+    return counted.groupBy("h", "w").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+
+
+def _stems(rows: DataFrame) -> DataFrame:
+    """The stem s of every distinct word w of rows."""
+    return rows.select("text").mapInArrow(_word_stems, "w long, s long").groupBy("w").agg(F.min("s").alias("s"))
+
+
+def _tables(grams: DataFrame, stems: DataFrame, most_entries: int) -> Model:
+    """The Kneser-Ney differences of distinct bigrams (h, w) with their counts t and o by class."""
     nt, no, kinds = (float(x or 0) for x in grams.agg(F.sum("t"), F.sum("o"), F.count("*")).first())
     if not nt or not no:
         return Model()
     total, part = nt + no, lambda c, n, share: (F.col(c) + SHARED * share) / (n + SHARED)
-    stem = grams.groupBy("s").agg(F.sum("t").alias("st"), F.sum("o").alias("so"))
+    uni = grams.groupBy("w").agg(F.sum("t").alias("t"), F.sum("o").alias("o"), F.count("*").alias("left")).join(stems, "w")
+    stem = uni.groupBy("s").agg(F.sum("t").alias("st"), F.sum("o").alias("so"))
     share = (F.col("st") + F.col("so")) / total
     stem = stem.select("s", "st", "so", (part("st", nt, share) / share).alias("rt"), (part("so", no, share) / share).alias("ro"))
     stem = stem.withColumn("llr", F.log(F.col("rt") / F.col("ro")))
     # Kneser-Ney continuation counts of both classes together.
-    uni = grams.groupBy("w", "s").agg(F.sum("t").alias("t"), F.sum("o").alias("o"), F.count("*").alias("left")).join(stem.select("s", "rt", "ro"), "s")
+    uni = uni.join(stem.select("s", "rt", "ro"), "s")
     share = (F.col("left") + 1) / (kinds + 1)
     uni = uni.select("w", "t", "o", part("t", nt, share * F.col("rt")).alias("pt"), part("o", no, share * F.col("ro")).alias("po"))
     uni = uni.withColumn("llr", F.log(F.col("pt") / F.col("po")))

@@ -15,7 +15,7 @@ from tests.llm.helpers import DOCS, awkward
 
 
 def cut(rows):
-    """Brute-force removal of repeated strings, characters cut in part left out."""
+    """Brute-force removal of repeated strings, character by character: no decoding with replacement."""
     from collections import Counter
 
     length = repeats.LENGTH
@@ -27,8 +27,13 @@ def cut(rows):
         for k in range(len(t) - length + 1):
             if seen[t[k : k + length]] > 1:
                 drop[k : k + length] = b"\1" * length
-        out[i] = bytes(b for b, d in zip(t, drop) if not d).decode("utf-8", "replace")
-        out[i] = out[i].replace("�", "") if any(drop) else t.decode()
+        left, at = [], 0
+        for c in t.decode():
+            n = len(c.encode())
+            if not any(drop[at : at + n]):
+                left.append(c)
+            at += n
+        out[i] = "".join(left)
     return out
 
 
@@ -57,8 +62,36 @@ def test_stages_take_awkward_and_empty_tables(spark, sf_dir, stage):
         assert out.columns == pipeline.COLUMNS
     if stage is pipeline.language:  # blank texts go; in a table this small, so does what is unlike the rest
         assert {4, 5} <= {r.doc_id for r in out.collect()} and not out.where("trim(coalesce(text, '')) = ''").count()
+    elif stage is pipeline.near_duplicates:  # brute force over row numbers; blank texts are classes of their own
+        rows = frame.collect()
+        classes = {c for *_, c in test_jaccard.brute([(n, r.text) for n, r in enumerate(rows)])}
+        assert out.count() == len(classes) == 7
     else:
-        assert out.count() == (8 if stage is pipeline.near_duplicates else 10)
+        assert out.count() == 10
+
+
+def test_rows_without_an_id_and_ids_of_two_texts(spark, sf_dir):
+    words = " ".join(f"own{i}" for i in range(60))
+    item = next(r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect())
+    texts = [(None, words), (None, words + " end"), (5, words.upper()), (7, "one text of seven words is here"), (7, "another text that is not at all like it"), (None, item), (9, "clean")]
+    frame = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in texts], DOCS)
+    left = pipeline.near_duplicates(spark, frame, sf_dir).collect()
+    assert sorted((str(r.doc_id), r.text) for r in left) == sorted((str(i), t) for i, t in texts[2:])
+    left = pipeline.decontaminate(spark, frame, sf_dir).collect()
+    assert sorted((str(r.doc_id), r.text) for r in left) == sorted((str(i), t) for i, t in texts if t != item)
+
+
+def test_repeats_touch_no_other_character(spark, sf_dir):
+    """Genuine U+FFFD stay, and halves of two cut characters never make a third one."""
+    shared = "".join(chr(97 + i * i % 26) for i in range(230))
+    begin, end = b"\xa9" + shared.encode(), shared[:229].encode() + b"\xc3"  # a second byte, a first byte
+    halves = [b"z \xc3" + begin + b" x", b"q \xc4" + begin + b" y", b"k " + end + b"\xa3 w", b"l " + end + b"\xa4 v"]
+    texts = [t.decode() for t in halves] + [f"start \ufffd {shared}\ufffd tail \ufffd", "\ufffd" * 70, "\ufffd" * 70, "clean \ufffd"]
+    frame = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCS)
+    out = {r.doc_id: r for r in pipeline.remove_repeats(spark, frame, sf_dir).collect()}
+    want = cut(list(enumerate(texts)))
+    assert {i: r.text for i, r in out.items()} == want and all(r.n_chars == len(r.text) for r in out.values())
+    assert want[4].count("\ufffd") == 3 and want[7] == "clean \ufffd" and want[5] == ""
 
 
 def test_near_duplicates_keep_one_of_each_class(spark, sf_dir):

@@ -69,6 +69,21 @@ def test_passages_and_periodic_texts(spark, monkeypatch, hot):
     assert sorted(got) == sorted(brute(list(enumerate(texts))))
 
 
+@pytest.mark.parametrize("part", [1, 37, 300, 1 << 18])
+def test_runs_of_parts_hold_every_window_once(part):
+    """However the windows are dealt over parts, each is in one run, and equal ones have one anchor."""
+    texts = [t.encode() for t in passages(5) if t]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    starts, sizes, grams, _ = repeats.runs_of(data, offsets, part=part)
+    windows = [w for s, n in zip(starts.tolist(), sizes.tolist()) for w in range(s, s + n)]
+    want = [o + k for o, t in zip(offsets.tolist(), texts) for k in range(len(t) - repeats.LENGTH + 1)]
+    assert windows == want
+    anchor, flat = {}, data.tobytes()
+    for w, g in zip(windows, np.repeat(grams, sizes).tolist()):
+        assert anchor.setdefault(flat[w : w + repeats.LENGTH], g) == g
+
+
 def test_awkward_rows(spark):
     frame = awkward(spark).withColumnRenamed("lang", "block").withColumnRenamed("source", "kept")
     got = result(repeats.remove_repeats(frame))

@@ -32,7 +32,7 @@ def labelled(spark):
 def test_tables_equal_the_formulas(spark, tmp_path):
     frame, marks, texts = labelled(spark)
     rows = frame.select(F.col("doc_id").alias("_id"), "text").join(marks.withColumnRenamed("doc_id", "_id"), "_id")
-    model = toxicity._tables(rows, str(tmp_path / "t"), 10**6)
+    model = toxicity._tables(toxicity._bigrams(rows.withColumn("apart", F.col("toxic") == 1)), toxicity._stems(rows), 10**6)
     bi = [Counter(), Counter()]
     for i, t in enumerate(texts):
         w = t.split()
