@@ -120,15 +120,20 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 
 
-def byte_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Prefix sums from which `span_hash` takes the hash of any span of the bytes."""
-    n = 1 << max(16, int(len(data)).bit_length())
+def value_sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums from which `span_hash` takes the hash of any span of these 64-bit numbers."""
+    n = 1 << max(16, int(len(values)).bit_length())
     up, down = _powers(n)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * up[: len(data)], out=sums[1:])
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
     return sums, down
 
 
+def byte_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums from which `span_hash` takes the hash of any span of the bytes."""
+    return value_sums(_VALUES[data])
+
+
 def span_hash(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte spans, equal for equal bytes wherever they stand."""
     total, down = sums

@@ -13,7 +13,17 @@ from tests.llm.test_lm import LOWER
 
 
 def words(text):
-    return re.findall(r"[a-z0-9\x80-\U0010ffff]+", (text or "").translate(LOWER))
+    """Tokens, character by character."""
+    out, joined = [], False
+    for c in (text or "").translate(LOWER):
+        within = lambda ranges: any(a <= ord(c) <= b for a, b in ranges)  # noqa: B023, E731
+        if within(tiling.SINGLE):
+            out, joined = [*out, c], False
+        elif within(tiling.PARTING) or not re.match(r"[a-z0-9\x80-\U0010ffff]", c):
+            joined = False
+        else:
+            out, joined = ([*out[:-1], out[-1] + c], True) if joined else ([*out, c], True)
+    return out
 
 
 def brute_tiles(a, b, least):
@@ -38,15 +48,17 @@ def brute_tiles(a, b, least):
                 total, tiles = total + best, tiles + 1
 
 
-def brute(rows, items, least=tiling.LEAST, threshold=tiling.THRESHOLD):
-    out = []
+def brute(rows, items, least=tiling.LEAST, threshold=tiling.THRESHOLD, shortest=tiling.SHORTEST):
+    out, split = [], [(i, words(text)) for i, text in rows]
     for k, item in items:
         a = words(item)
-        grams = {tuple(a[i : i + least]) for i in range(len(a) - least + 1)}
-        for i, text in rows:
-            b = words(text)
-            if len(a) >= least and any(tuple(b[j : j + least]) in grams for j in range(len(b) - least + 1)):
-                covered, tiles = brute_tiles(a, b, least)
+        n = min(least, len(a))
+        grams = {tuple(a[i : i + n]) for i in range(len(a) - n + 1)}
+        for i, b in split:
+            if not n or (n < shortest and a != b):
+                continue
+            if any(tuple(b[j : j + n]) in grams for j in range(len(b) - n + 1)):
+                covered, tiles = brute_tiles(a, b, n)
                 if covered >= threshold * len(a):
                     out.append((i, k, covered, len(a), tiles))
     return out
@@ -96,3 +108,25 @@ def test_awkward_rows(spark):
     assert got == [(-1, -1, 5), (4, 1, 60), (4, 1, 60), (5, 1, 60), (5, 1, 60)]
     assert tiling.contaminated(docs(spark, []), items).count() == 0
     assert tiling.contaminated(frame, items.limit(0)).count() == 0
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    han = "\u4e2d\u56fd\u7684\u9996\u90fd\u662f\u5317\u4eac\u3002\u6cb3\u6d41\u5f88\u957f\uff0c\u57ce\u5e02\u5f88\u5927"
+    items = ["four words in all", "two words", "word", han, "\u0e01\u0e02\u0e03\u0e04\u0e05\u0e06", "caf\u00e9\u2014na\u00efve \u00abr\u00f4le\u00bb d\u00e9j\u00e0 vu", "\u3002!", "", None]
+    texts = [
+        "Before. Four words, in all! After.", "four words in", "two words", "here are two words", "word", "a word", han, f"abc{han[9:]}xyz{han[:8]}1", han[:6],
+        "\u0e00\u0e01\u0e02\u0e03\u0e04\u0e05\u0e06\u0e07", "x caf\u00e9 na\u00efve r\u00f4le d\u00e9j\u00e0 vu", "cafe naive role deja vu", "\u3002!", "", None,
+    ]
+    frame = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = sorted(map(tuple, tiling.contaminated(docs(spark, texts), frame).collect()))
+    assert got == sorted(brute(list(enumerate(texts)), list(enumerate(items))))
+    assert [(i, k) for i, k, *_ in got] == [(0, 0), (2, 1), (4, 2), (6, 3), (7, 3), (9, 4), (10, 5)]
+
+
+def test_a_prompt_that_all_items_share_meets_nothing_by_itself(spark):
+    prompt = "answer the following question in one short sentence please"
+    items = [f"{prompt} " + " ".join(f"i{k}w{n}" for n in range(20)) for k in range(30)]
+    texts = [f"{prompt} {n}" for n in range(30)] + [items[3] + " more", "x " + " ".join(items[7].split()[9:])]
+    frame = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = sorted(map(tuple, tiling.contaminated(docs(spark, texts), frame).collect()))
+    assert got == sorted(brute(list(enumerate(texts)), list(enumerate(items)))) and [(i, k) for i, k, *_ in got] == [(30, 3), (31, 7)]
