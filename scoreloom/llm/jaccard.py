@@ -40,6 +40,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +52,7 @@ from scoreloom.session import work_path
 SHINGLE = 5
 BLOCK_BYTES = 3 << 20
 BUCKET_BYTES = 6 << 20
+PACKED_BYTES = 1 << 20
 STAR_ROUNDS = 1
 SMALL = 8
 COMMON, COMMON_IN_BLOCK = 100_000, 3
@@ -397,12 +399,16 @@ def _texts(batches):
 
 def _compare(batches):
     for batch in batches:
-        step = 16  # whole texts, some of them long
-        for at in range(0, batch.num_rows, step):
-            part = batch.slice(at, step)
-            left, right = shingle_sets(_plain(part.column("left"))), shingle_sets(_plain(part.column("right")))
-            both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)]
-            either = [len(x) + len(y) - n for x, y, n in zip(left, right, both)]
+        size = lambda c: pc.binary_length(batch.column(c)).to_numpy().astype(np.int64)  # noqa: B023, E731
+        for part in packed.slices(batch, size("left") + size("right"), PACKED_BYTES):
+            # Pairs come in order of a set, and leaders are in many: each text of a part is cut into words once.
+            names = np.concatenate([part.column(c).to_numpy() for c in ("a", "b")])
+            _, one, of = np.unique(names, return_index=True, return_inverse=True)
+            texts = pa.concat_arrays([part.column("left"), part.column("right")]).take(pa.array(one))
+            sets, n = shingle_sets(_plain(texts)), part.num_rows
+            pairs = [(sets[x], sets[y]) for x, y in zip(of[:n], of[n:])]
+            both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in pairs]
+            either = [len(x) + len(y) - n for (x, y), n in zip(pairs, both)]
             yield pa.record_batch({
                 "a": part.column("a"), "b": part.column("b"), "big": part.column("big"), "shared": pa.array(both, pa.int64()), "all": pa.array(either, pa.int64()),
             })
