@@ -52,7 +52,7 @@ from scoreloom.session import work_path
 SHINGLE = 5
 BLOCK_BYTES = 3 << 20
 BUCKET_BYTES = 6 << 20
-PACKED_BYTES = 1 << 20
+PACKED_BYTES, COMPARED_BYTES = 1 << 20, 1 << 17  #: of packed texts, about a third of their size
 STAR_ROUNDS = 1
 SMALL = 8
 COMMON, COMMON_IN_BLOCK = 100_000, 3
@@ -241,7 +241,7 @@ def _classes(shingles: np.ndarray) -> np.ndarray:
 
 
 def _rarity(batches):
-    for _, rows in packed.blocks(batches, "text", BLOCK_BYTES):
+    for _, rows in packed.blocks(batches, "text", PACKED_BYTES):
         sets = shingle_sets(_plain(rows.column("text")))
         kinds, n = np.unique(_classes(np.concatenate(sets)), return_counts=True)
         yield pa.record_batch({"kind": pa.array(kinds, pa.int32()), "n": pa.array(n, pa.int64())})
@@ -251,7 +251,7 @@ def _prefix_messages(buckets: int, counts: np.ndarray):
     """The first shingles of each set from rare to common, with their places."""
 
     def send(batches):
-        for _, rows in packed.blocks(batches, "text", BLOCK_BYTES):
+        for _, rows in packed.blocks(batches, "text", PACKED_BYTES):
             sets = shingle_sets(_plain(rows.column("text")))
             names = rows.column("name").to_numpy().view(np.uint64)
             labels = rows.column("label").to_numpy().view(np.uint64)
@@ -400,7 +400,7 @@ def _texts(batches):
 def _compare(batches):
     for batch in batches:
         size = lambda c: pc.binary_length(batch.column(c)).to_numpy().astype(np.int64)  # noqa: B023, E731
-        for part in packed.slices(batch, size("left") + size("right"), PACKED_BYTES):
+        for part in packed.slices(batch, size("left") + size("right"), COMPARED_BYTES):
             # Pairs come in order of a set, and leaders are in many: each text of a part is cut into words once.
             names = np.concatenate([part.column(c).to_numpy() for c in ("a", "b")])
             _, one, of = np.unique(names, return_index=True, return_inverse=True)
@@ -412,6 +412,7 @@ def _compare(batches):
             yield pa.record_batch({
                 "a": part.column("a"), "b": part.column("b"), "big": part.column("big"), "shared": pa.array(both, pa.int64()), "all": pa.array(either, pa.int64()),
             })
+    pa.default_memory_pool().release_unused()
 
 
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
