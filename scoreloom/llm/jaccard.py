@@ -56,7 +56,7 @@ PACKED_BYTES, COMPARED_BYTES = 1 << 20, 1 << 17  #: of packed texts, about a thi
 STAR_ROUNDS = 1
 SMALL = 8
 COMMON, COMMON_IN_BLOCK = 100_000, 3
-SKETCH_BITS = 1024
+SKETCH_BITS, MOST_SKETCH_BITS = 1024, 1 << 15  #: a sketch has a bit per shingle, between these
 PIECE = 512
 RARITY_BITS = 20  #: shingles are counted in so many classes; any counts give the same links
 _U = np.uint64
@@ -415,24 +415,40 @@ def _compare(batches):
     pa.default_memory_pool().release_unused()
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """For each set the parity of its shingles in each of `SKETCH_BITS` classes, packed.
+def sketches(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """For each set the parity of its shingles in each of 2^i classes, packed; 2^i is its size or more.
 
-    Two sets that differ in d shingles have sketches that differ in at most d bits.
+    Two sets that differ in d shingles have sketches that differ in at most d bits. A sketch
+    folds into a shorter one, since the classes are remainders. Sets over `MOST_SKETCH_BITS`
+    have as many classes: more of their pairs are left to be compared.
     """
-    sizes = [len(s) for s in sets]
-    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    cell = (packed.mix(flat + _ODD[2]) % _U(SKETCH_BITS)).astype(np.int64) + np.repeat(np.arange(len(sets)), sizes) * SKETCH_BITS
-    odd = np.bincount(cell, minlength=len(sets) * SKETCH_BITS) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(len(sets), SKETCH_BITS), axis=1)
+    sizes = np.array([len(x) for x in sets], np.int64)
+    bits = 1 << np.ceil(np.log2(np.clip(sizes, SKETCH_BITS, MOST_SKETCH_BITS))).astype(np.int64)
+    ends = np.cumsum(bits)
+    flat = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
+    cell = (packed.mix(flat + _ODD[2]) & _U(MOST_SKETCH_BITS - 1)).astype(np.int64)
+    cell = (cell & np.repeat(bits - 1, sizes)) + np.repeat(ends - bits, sizes)
+    odd = np.zeros(int(ends[-1]) // 8 if len(sets) else 0, np.uint8)
+    np.bitwise_xor.at(odd, cell >> 3, np.uint8(1) << (cell & 7).astype(np.uint8))
+    return np.split(odd, ends[:-1] // 8) if len(sets) else []
+
+
+def folded(sketch: np.ndarray, width: int) -> np.ndarray:
+    """Rows of sketches, cut down to `width` bytes."""
+    return np.bitwise_xor.reduce(sketch.reshape(len(sketch), -1, width), axis=1)
 
 
 def _sift(batches):
     """How far the sketches of each pair let it be linked, or half-similar."""
     for batch in batches:
-        bits = lambda c: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+        length = [pc.binary_length(batch.column(c)).to_numpy().astype(np.int64) for c in ("s", "t")]
         both = batch.column("n").to_numpy() + batch.column("m").to_numpy()
-        apart = np.bitwise_count(bits("s") ^ bits("t")).sum(1, dtype=np.int64) if batch.num_rows else both
+        apart = np.zeros(len(both), np.int64)
+        for x, y in np.unique(np.stack(length, 1), axis=0).tolist():
+            at = np.flatnonzero((length[0] == x) & (length[1] == y))
+            rows = [b"".join(batch.column(c).take(pa.array(at)).to_pylist()) for c in ("s", "t")]
+            left, right = (folded(np.frombuffer(r, np.uint8).reshape(len(at), -1), min(x, y)) for r in rows)
+            apart[at] = np.bitwise_count(left ^ right).sum(1, dtype=np.int64)
         yield pa.record_batch({
             "a": batch.column("a"), "b": batch.column("b"), "big": batch.column("big"), "linked": pa.array(7 * apart <= both), "half": pa.array(3 * apart <= both),
         })

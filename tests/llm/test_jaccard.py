@@ -134,3 +134,19 @@ def test_pieces_of_groups_lose_no_link(spark, monkeypatch, rounds, piece):
     monkeypatch.setattr(jaccard, "PIECE", piece)
     monkeypatch.setattr(jaccard._links, "__defaults__", (rounds,))
     test_families_of_copies_and_half_similar_texts(spark)
+
+
+def test_sketches_bound_the_difference_at_any_size():
+    rng = np.random.default_rng(4)
+    for n, m, both in ((5, 6, 5), (100, 120, 90), (3000, 2500, 2300), (50_000, 45_000, 44_000), (900, 1300, 0)):
+        pool = np.unique(rng.integers(0, 1 << 62, n + m, dtype=np.int64).astype(np.uint64))
+        rng.shuffle(pool)
+        x, y = np.sort(pool[:n]), np.sort(np.concatenate([pool[:both], pool[n : n + m - both]]))
+        apart = len(np.setxor1d(x, y))
+        s, t = jaccard.sketches([x, y])
+        width = min(len(s), len(t))
+        bits = int(np.bitwise_count(jaccard.folded(s[None], width) ^ jaccard.folded(t[None], width)).sum())
+        assert bits <= apart and (apart - bits) % 2 == 0
+        assert 7 * apart <= n + m or 2 * both > n or 7 * bits > n + m  # unlike sets are told apart, long ones too
+    assert jaccard.sketches([]) == []
+    assert [len(x) for x in jaccard.sketches([np.zeros(0, np.uint64), y])] == [128, 256]
