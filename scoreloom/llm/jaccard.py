@@ -27,7 +27,8 @@ can still matter), go into the next round. After `STAR_ROUNDS` the open sets mee
 shingles ordered from rare to common among the open sets, linked sets share one within their first quarters,
 at places that leave enough shingles behind them (`open_pairs`). What sets of a family have in common is
 common, so sets that are alike but not linked rarely meet. Sets of one component make no pair.
-A group of such a shingle goes out in pieces of at most twice `PIECE` sets, dealt over all tasks.
+A group of such a shingle goes out in pieces of at most twice `PIECE` sets, dealt over all tasks, with
+folded sketches that rule pairs out before they are written.
 
 Defined results: a text without words has no shingles and links with nothing; with fewer
 than five words the whole sequence is its one shingle; rows of a null id count, but link
@@ -58,6 +59,7 @@ SMALL = 8
 COMMON, COMMON_IN_BLOCK = 100_000, 3
 SKETCH_BITS, MOST_SKETCH_BITS = 1024, 1 << 15  #: a sketch has a bit per shingle, between these
 PIECE = 512
+MEETING_BYTES = 32  #: of the folded sketches that rule pairs of open sets out where they meet
 RARITY_BITS = 20  #: shingles are counted in so many classes; any counts give the same links
 _U = np.uint64
 _ODD = (_U(0xD1342543DE82EF95), _U(0xAF251AF3B0F025B5), _U(0xB564EF22EC7AECE5))
@@ -256,6 +258,7 @@ def _prefix_messages(buckets: int, counts: np.ndarray):
             names = rows.column("name").to_numpy().view(np.uint64)
             labels = rows.column("label").to_numpy().view(np.uint64)
             sizes = np.array([len(x) for x in sets], np.int64)
+            short = np.concatenate([folded(x[None], MEETING_BYTES) for x in sketches(sets)])
             flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
             order = np.lexsort((flat, counts[_classes(flat)], owner))
             # Linked sets share 3/4 of either, so one of the first n - ceil(3 n / 4) + 1.
@@ -269,15 +272,16 @@ def _prefix_messages(buckets: int, counts: np.ndarray):
             for bucket, s in packed.bucket_ranges(keys, buckets):
                 used, local = np.unique(owners[s], return_inverse=True)
                 of_sets = [packed.pack(x[used]) for x in (names, labels, sizes)]
-                out.append((bucket, packed.pack_sorted(keys[s]), packed.pack(local, np.uint32), packed.pack(places[s], np.uint32), *of_sets))
-            columns = list(zip(*out)) if out else [[]] * 7
+                of_keys = packed.pack_sorted(keys[s]), packed.pack(local, np.uint32), packed.pack(places[s], np.uint32)
+                out.append((bucket, *of_keys, *of_sets, short[used].tobytes()))
+            columns = list(zip(*out)) if out else [[]] * 8
             yield pa.record_batch([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=_PREFIXES)
 
     return send
 
 
-_PREFIXES = ["bucket", "keys", "owners", "places", "names", "labels", "sizes"]
-_PIECES = "across int, groups binary, names binary, labels binary, sizes binary, places binary"
+_PREFIXES = ["bucket", "keys", "owners", "places", "names", "labels", "sizes", "sketches"]
+_PIECES = "across int, groups binary, names binary, labels binary, sizes binary, places binary, members binary, sketches binary"
 
 
 def _pieces(table: pa.Table) -> pa.Table:
@@ -285,21 +289,25 @@ def _pieces(table: pa.Table) -> pa.Table:
 
     `across` is the number of sets of the first part, or 0 where a piece is paired within its groups.
     """
-    parts = []
+    parts, seen = [], 0
+    short = np.concatenate([_short(x) for x in table.column("sketches").to_pylist()])
     for r in table.to_pylist():
         local = packed.unpack(r["owners"], np.uint32)
+        row, seen = seen + local, seen + len(r["sketches"]) // MEETING_BYTES
         of_sets = [packed.unpack(r[c], kind)[local] for c, kind in (("names", np.uint64), ("labels", np.uint64), ("sizes", np.int64))]
-        parts.append((packed.unpack_sorted(r["keys"]), *of_sets, packed.unpack(r["places"], np.uint32)))
-    keys, names, labels, sizes, places = map(np.concatenate, zip(*parts))
+        parts.append((packed.unpack_sorted(r["keys"]), *of_sets, packed.unpack(r["places"], np.uint32), row))
+    keys, names, labels, sizes, places, row = map(np.concatenate, zip(*parts))
     order = np.lexsort((names, sizes, labels, keys))
-    keys, names, labels, sizes, places = (x[order] for x in (keys, names, labels, sizes, places))
+    keys, names, labels, sizes, places, row = (x[order] for x in (keys, names, labels, sizes, places, row))
     start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
     length = np.diff(np.append(start, len(keys)))
     groups = np.repeat(np.arange(len(start)), length)
     out = []
 
     def put(at: np.ndarray, across: int):
-        out.append((across, packed.pack(groups[at], np.uint32), *[packed.pack(x[at]) for x in (names, labels, sizes)], packed.pack(places[at], np.uint32)))
+        of_sets = [packed.pack(x[at]) for x in (names, labels, sizes)]
+        of_rows, members = np.unique(row[at], return_inverse=True)  # each sketch goes out once in a piece
+        out.append((across, packed.pack(groups[at], np.uint32), *of_sets, packed.pack(places[at], np.uint32), packed.pack(members, np.uint16), short[of_rows].tobytes()))
 
     few = np.flatnonzero((length > 1) & (length <= PIECE))
     ends, a = np.cumsum(length[few]), 0
@@ -315,9 +323,13 @@ def _pieces(table: pa.Table) -> pa.Table:
                 if low == span[j][3] or 4 * most < 3 * span[j][0] or 4 * span[j][1] < 3 * least:
                     continue  # one component, or no two sets of like size
                 put(cut[i] if i == j else np.concatenate([cut[i], cut[j]]), 0 if i == j else len(cut[i]))
-    columns = list(zip(*out)) if out else [[]] * 6
-    kinds = [pa.int32(), *[pa.binary()] * 5]
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["across", "groups", "names", "labels", "sizes", "places"])
+    columns = list(zip(*out)) if out else [[]] * 8
+    kinds = [pa.int32(), *[pa.binary()] * 7]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in _PIECES.split(", ")])
+
+
+def _short(sketch: bytes) -> np.ndarray:
+    return np.frombuffer(sketch, np.uint8).reshape(-1, MEETING_BYTES)
 
 
 def _pairs_of_pieces(batches):
@@ -326,6 +338,7 @@ def _pairs_of_pieces(batches):
             names, labels = packed.unpack(r["names"], np.uint64), packed.unpack(r["labels"], np.uint64)
             sizes, places = packed.unpack(r["sizes"], np.int64), packed.unpack(r["places"], np.uint32).astype(np.int64)
             groups, n = packed.unpack(r["groups"], np.uint32), len(names)
+            short = _short(r["sketches"])[packed.unpack(r["members"], np.uint16)].view(np.uint64)
             few = np.arange(n)
             for step in range(1, n):
                 few = few[few + step < n]
@@ -340,6 +353,8 @@ def _pairs_of_pieces(batches):
                 # At the first shingle that linked sets share, both have enough left.
                 left = np.minimum(sizes[x] - places[x], sizes[y] - places[y])
                 use &= (labels[x] != labels[y]) & (7 * left >= 3 * (sizes[x] + sizes[y]))
+                x, y = x[use], y[use]
+                use = 7 * np.bitwise_count(short[x] ^ short[y]).sum(1, dtype=np.int64) <= sizes[x] + sizes[y]
                 if use.any():
                     a, b = np.minimum(names[x[use]], names[y[use]]), np.maximum(names[x[use]], names[y[use]])
                     yield pa.record_batch({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64)), "big": pa.array(np.zeros(len(a), bool))})
