@@ -60,6 +60,7 @@ COMMON, COMMON_IN_BLOCK = 100_000, 3
 SKETCH_BITS, MOST_SKETCH_BITS = 1024, 1 << 15  #: a sketch has a bit per shingle, between these
 PIECE = 512
 MEETING_BYTES = 32  #: of the folded sketches that rule pairs of open sets out where they meet
+MOST_NAMES = 2_000_000  #: names of sets, of 8 bytes, that are broadcast to find their texts; more are joined
 RARITY_BITS = 20  #: shingles are counted in so many classes; any counts give the same links
 _U = np.uint64
 _ODD = (_U(0xD1342543DE82EF95), _U(0xAF251AF3B0F025B5), _U(0xB564EF22EC7AECE5))
@@ -469,6 +470,18 @@ def _sift(batches):
         })
 
 
+def _packed_texts(docs: DataFrame, names: DataFrame, path: str) -> DataFrame:
+    """(name, text) of the sets in `names`, once each, as a written table.
+
+    The names are written and counted first: if they are few, no other text is shuffled.
+    """
+    names = packed.staged(names.distinct(), f"{path}-names")
+    few = names.count() <= MOST_NAMES
+    texts = docs.select("text").mapInArrow(_texts, "name long, text binary")
+    texts = texts.join(F.broadcast(names) if few else names, "name", "left_semi")
+    return packed.staged(texts.dropDuplicates(["name"]), path)
+
+
 def verify(pairs: DataFrame, sketch: DataFrame, docs: DataFrame, path: str) -> DataFrame:
     """Pairs (a, b, big) with `linked` and `half`: whether their sets reach 75, and maybe 50, percent.
 
@@ -478,9 +491,8 @@ def verify(pairs: DataFrame, sketch: DataFrame, docs: DataFrame, path: str) -> D
     right = sketch.select(F.col("name").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("t"))
     sifted = pairs.join(left, "a").join(right, "b").select("a", "b", "big", "n", "m", "s", "t")
     sifted = packed.staged(sifted.mapInArrow(_sift, "a long, b long, big boolean, linked boolean, half boolean"), f"{path}-sifted")
-    wanted = sifted.where("linked").select(F.explode(F.array("a", "b")).alias("name")).distinct()
-    texts = docs.select("text").mapInArrow(_texts, "name long, text binary").join(wanted, "name", "left_semi")
-    texts = packed.staged(texts.dropDuplicates(["name"]), f"{path}-texts")
+    wanted = sifted.where("linked").select(F.explode(F.array("a", "b")).alias("name"))
+    texts = _packed_texts(docs, wanted, f"{path}-texts")
     left = texts.select(F.col("name").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("name").alias("b"), F.col("text").alias("right"))
     close = sifted.where("linked").select("a", "b", "big").join(left, "a").join(right, "b").select("a", "b", "big", "left", "right")
@@ -506,9 +518,7 @@ def _links(docs: DataFrame, path: str, common: np.ndarray, sketch: DataFrame, st
             break
         open_leaders = failed.where("half").select("a").distinct()
         active = failed.select("b").unionByName(star.where("linked").join(open_leaders, "a", "left_semi").select("b"))
-        active = packed.staged(active.select(F.col("b").alias("name")).distinct(), f"{path}/{i}-active")
-        left = docs.select("text").mapInArrow(_texts, "name long, text binary").join(active, "name", "left_semi")
-        left = packed.staged(left.dropDuplicates(["name"]), f"{path}/{i}-left")
+        left = _packed_texts(docs, active.select(F.col("b").alias("name")), f"{path}/{i}-left")
         if i == star_rounds:  # pairs that are not connected yet
             label = smallest_member(_all(links)).select(F.col("node").alias("name"), "component")
             left = left.join(label, "name", "left").select("name", "text", F.coalesce("component", "name").alias("label"))
