@@ -33,8 +33,19 @@ def create(df: DataFrame, path: str, key: str = "row_key", ranges: int = RANGES)
     """Write a keyed frame as a table of at most `ranges` key ranges, each sorted by key."""
     spark = df.sparkSession
     df.limit(0).write.parquet(posixpath.join(path, "shape"))  # the columns, also of a table without rows
-    dealt = df.repartitionByRange(ranges, key).sortWithinPartitions(key)
-    dealt.withColumn(RANGE, F.spark_partition_id()).write.partitionBy(RANGE).parquet(posixpath.join(path, "rows"))
+    staged = work_path(spark, "range-rows")
+    df.write.parquet(staged)  # computed once, read for the bounds and for the table
+    rows = spark.read.parquet(staged)
+    # The ranges are runs of Spark's finer key cuts, and each range is cut again at its own keys
+    # when written, so that no task holds a whole range.
+    count = max(ranges, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cuts = rows.select(key).repartitionByRange(count, key).withColumn("cut", F.spark_partition_id())
+    found = cuts.groupBy("cut").agg(F.min(key).alias("low")).collect()
+    lows = sorted(r.low for r in found if r.low is not None)
+    lows = sorted({lows[i * len(lows) // ranges] for i in range(min(ranges, len(lows)))}) or [""]
+    ranged = rows.withColumn(RANGE, range_of(F.col(key), lows, list(range(len(lows)))))
+    dealt = ranged.repartitionByRange(RANGE, key).sortWithinPartitions(RANGE, key)
+    dealt.write.partitionBy(RANGE).parquet(posixpath.join(path, "rows"))
     lowest = stored(spark, path).groupBy(RANGE).agg(F.min(key).alias("lowest"))
     lowest.withColumn("key_column", F.lit(key)).coalesce(1).write.parquet(posixpath.join(path, "ranges"))
 
