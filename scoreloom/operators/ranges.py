@@ -46,8 +46,12 @@ def create(df: DataFrame, path: str, key: str = "row_key", ranges: int = RANGES)
     ranged = rows.withColumn(RANGE, range_of(F.col(key), lows, list(range(len(lows)))))
     dealt = ranged.repartitionByRange(RANGE, key).sortWithinPartitions(RANGE, key)
     dealt.write.partitionBy(RANGE).parquet(posixpath.join(path, "rows"))
-    lowest = stored(spark, path).groupBy(RANGE).agg(F.min(key).alias("lowest"))
-    lowest.withColumn("key_column", F.lit(key)).coalesce(1).write.parquet(posixpath.join(path, "ranges"))
+    # Each low is a key of its range and no smaller key falls into it: the lows are the lowest
+    # keys, and no scan of the table is needed for them. A table without rows has one range.
+    lowest = spark.createDataFrame(
+        [(low, number, key) for number, low in enumerate(lows)], f"lowest string, {RANGE} int, key_column string"
+    )
+    lowest.coalesce(1).write.parquet(posixpath.join(path, "ranges"))
 
 
 def _bounds(spark: SparkSession, path: str) -> tuple[str, list[str], list[int]]:
@@ -99,13 +103,15 @@ def rewrite(
     ranged = changed.withColumn(RANGE, range_of(F.col(key), lows, numbers))
     staged = work_path(spark, "changed-ranges")
     # Each range is cut at its own keys, so that a hot range is written by several tasks.
-    ranged.repartitionByRange(RANGE, key).sortWithinPartitions(RANGE, key).write.parquet(staged)
-    merged = spark.read.parquet(staged)
-    left = {r[RANGE] for r in merged.select(RANGE).distinct().collect()}
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RANGE).parquet(rows)
-    for emptied in set(ids) - left:  # a dynamic overwrite keeps partitions that get no row
-        folder = posixpath.join(rows, f"{RANGE}={emptied}")
-        merged.drop(RANGE).limit(0).write.mode("overwrite").parquet(folder)
+    dealt = ranged.repartitionByRange(RANGE, key).sortWithinPartitions(RANGE, key)
+    dealt.write.partitionBy(RANGE).parquet(staged)
+    merged = spark.read.schema(stored(spark, path).schema).parquet(staged)
+    # Each range is replaced by its staged files as they are, each sorted by key: a write by
+    # partition column would sort whole file splits again. A range without rows is emptied.
+    for number in ids:
+        merged.where(F.col(RANGE) == number).drop(RANGE).write.mode("overwrite").parquet(
+            posixpath.join(rows, f"{RANGE}={number}")
+        )
     return ids
 
 
