@@ -8,7 +8,9 @@ lookup by key reads one bucket.
 One row may hold a large share of all cells, and its bucket is then one long task. So
 `open_cells` compares the largest bucket with the mean, by the row counts of the files, and
 beyond `MOST_SKEW` reads the same files without their bucketing: aggregates then shrink the row
-in every task before a shuffle. The choice changes plans, never results.
+in every task before a shuffle. So it does, too, once a bucket is larger than a file split
+(`spark.sql.files.maxPartitionBytes`): with a fixed number of buckets, a task that reads a whole
+bucket grows with the table. The choice changes plans, never results.
 """
 
 from __future__ import annotations
@@ -58,8 +60,18 @@ def skew(spark: SparkSession, stored: BucketedCells) -> float:
     return most * stored.buckets / total if total else 0.0
 
 
+def largest_bucket_bytes(spark: SparkSession, stored: BucketedCells) -> int:
+    """Bytes of the largest bucket file; sizes come from the file listing."""
+    sizes = spark.table(stored.name).select("_metadata.file_name", "_metadata.file_size").distinct()
+    return sizes.agg(F.max("file_size")).first()[0] or 0
+
+
 def open_cells(spark: SparkSession, stored: BucketedCells, most_skew: float = MOST_SKEW) -> DataFrame:
-    """The stored cells, by their buckets unless one of them is far larger than the others."""
-    if skew(spark, stored) <= most_skew:
+    """The stored cells, by their buckets unless one of them is far larger than the others
+    or than a file split."""
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    if skew(spark, stored) <= most_skew and largest_bucket_bytes(spark, stored) <= split:
         return spark.table(stored.name)
     return spark.read.parquet(stored.path)
