@@ -21,6 +21,7 @@ VERSIONS = f"""(SELECT *, row_number() OVER (PARTITION BY row_key, family, quali
   ORDER BY version DESC) AS age FROM (SELECT row_key, family, qualifier, version,
   min(value) AS value FROM {RATING_CELLS} GROUP BY ALL))"""
 CELL = "row_key, family, qualifier, version, value"
+CELLS_PER_TASK = 2_000_000  # cells that one task of a wide scan sorts, at most
 
 
 def _loads_sql() -> str:
@@ -90,8 +91,11 @@ def rating_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_cells = cells.to_cells(
         keyed_ratings(spark, sf_dir), F.col("row_key"), RATING_ADDRESSES, F.col("timestamp")
     )
-    write_counted(tables.by_key(as_cells), stored)
-    return cells.wide(spark.read.parquet(stored), RATING_ADDRESSES)
+    written = write_counted(tables.by_key(as_cells), stored)
+    # The rows' values are text, so their aggregate sorts what a task holds: dealt by key into
+    # tasks of at most CELLS_PER_TASK cells, not by file split, a task does not grow with the table.
+    tasks = max(1, -(-written // CELLS_PER_TASK))
+    return cells.wide(spark.read.parquet(stored).repartition(tasks, "row_key"), RATING_ADDRESSES)
 
 
 @query(f"SELECT row_key, title, genres FROM {ITEMS}")
