@@ -94,7 +94,7 @@ def rating_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = write_counted(tables.by_key(as_cells), stored)
     # The rows' values are text, so their aggregate sorts what a task holds: dealt by key into
     # tasks of at most CELLS_PER_TASK cells, not by file split, a task does not grow with the table.
-    tasks = max(1, -(-written // CELLS_PER_TASK))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-written // CELLS_PER_TASK))
     return cells.wide(spark.read.parquet(stored).repartition(tasks, "row_key"), RATING_ADDRESSES)
 
 
