@@ -27,6 +27,13 @@ from scoreloom.session import work_path
 
 RANGES = 200
 RANGE = "key_range"
+ROWS_PER_TASK = 500_000  # rows that one task cuts, sorts and writes at most
+
+
+def _tasks(spark: SparkSession, rows: DataFrame, least: int) -> int:
+    """Tasks for dealing `rows` by key: more as the rows grow, so that no task sorts a growing share."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, shuffle, -(-rows.count() // ROWS_PER_TASK))
 
 
 def create(df: DataFrame, path: str, key: str = "row_key", ranges: int = RANGES) -> None:
@@ -38,13 +45,13 @@ def create(df: DataFrame, path: str, key: str = "row_key", ranges: int = RANGES)
     rows = spark.read.parquet(staged)
     # The ranges are runs of Spark's finer key cuts, and each range is cut again at its own keys
     # when written, so that no task holds a whole range.
-    count = max(ranges, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    count = _tasks(spark, rows, ranges)
     cuts = rows.select(key).repartitionByRange(count, key).withColumn("cut", F.spark_partition_id())
     found = cuts.groupBy("cut").agg(F.min(key).alias("low")).collect()
     lows = sorted(r.low for r in found if r.low is not None)
     lows = sorted({lows[i * len(lows) // ranges] for i in range(min(ranges, len(lows)))}) or [""]
     ranged = rows.withColumn(RANGE, range_of(F.col(key), lows, list(range(len(lows)))))
-    dealt = ranged.repartitionByRange(RANGE, key).sortWithinPartitions(RANGE, key)
+    dealt = ranged.repartitionByRange(count, RANGE, key).sortWithinPartitions(RANGE, key)
     dealt.write.partitionBy(RANGE).parquet(posixpath.join(path, "rows"))
     # Each low is a key of its range and no smaller key falls into it: the lows are the lowest
     # keys, and no scan of the table is needed for them. A table without rows has one range.
