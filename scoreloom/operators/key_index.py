@@ -1,12 +1,14 @@
 """Lookups of stored ratings by user, item or any key part, without reading everything.
 
 Row keys start with the user, so the ratings themselves, sorted by key, answer a key prefix.
-All else asks a covering index: a copy of each rating under each value it can be asked by,
-sorted by (value, kind). A lookup is one equality on `value`, which reaches the scan and skips
-all row groups of other values; no join and no second read follow.
+All else asks a covering index: a copy of each rating under each value by which only the index
+finds it, sorted by (value, kind). A lookup is one equality on `value`, which reaches the scan
+and skips all row groups of other values; no join and no second read follow.
 
 Kinds: `part` for each part of the key after the first (`second` tells whether the value
-is the second one), `user` and `item` for the columns. Values are text. Both tables are
+is the second one), `user` and `item` for the columns, where they are not what the key says:
+a lookup asks a column only if no key matches, and a rating whose key starts with its user (or
+has its item second) is itself such a match. Values are text. Both tables are
 range tables (`ranges`), and `add` keeps both with each load: it takes the entries
 of replaced ratings out and the new ones in, and rewrites only the ranges that these touch.
 """
@@ -28,7 +30,7 @@ PART, USER, ITEM = "part", "user", "item"
 
 
 def entries(ratings: DataFrame) -> DataFrame:
-    """(value, kind, second, entry) and the rating, for everything a rating can be asked by.
+    """(value, kind, second, entry) and the rating, for all by which a rating has to be found.
 
     `entry` is the key of the index: value, kind and row key, so that equal ones are one.
     """
@@ -37,9 +39,12 @@ def entries(ratings: DataFrame) -> DataFrame:
     by_part = F.transform(
         later, lambda p: F.struct(p.alias("value"), F.lit(PART).alias("kind"), (p == F.get(parts, F.lit(1))).alias("second"))
     )
+    user, item = F.col("user_id").cast("string"), F.col("item_id").cast("string")
+    # `find_ratings_of_user` and `find_ratings_of_item` match such a rating by its key, ahead of its column.
+    by_key = F.col("row_key").startswith(F.concat(user, F.lit(SEPARATOR))), F.get(parts, F.lit(1)).eqNullSafe(item)
     by_column = [
-        F.struct(F.col(c).cast("string").alias("value"), F.lit(kind).alias("kind"), F.lit(False).alias("second"))
-        for c, kind in (("user_id", USER), ("item_id", ITEM))
+        F.struct(F.when(~named, value).alias("value"), F.lit(kind).alias("kind"), F.lit(False).alias("second"))
+        for value, named, kind in zip((user, item), by_key, (USER, ITEM), strict=True)
     ]
     asked = ratings.select(F.inline(F.concat(by_part, F.array(*by_column))), *RATING_FIELDS)
     entry = F.concat_ws("\u0001", "value", "kind", "row_key")
@@ -51,10 +56,10 @@ def _paths(path: str) -> tuple[str, str]:
 
 
 def create(ratings: DataFrame, path: str, count: int = ranges.RANGES) -> None:
-    """Store keyed ratings and their index. `ratings` is read from a table, not computed twice."""
+    """Store keyed ratings and their index. The index is made from the stored ratings."""
     rows, index = _paths(path)
     ranges.create(ratings.select(*RATING_FIELDS), rows, "row_key", count)
-    ranges.create(entries(ranges.read(ratings.sparkSession, rows)), index, "entry", count)
+    ranges.create(entries(ranges.read(ratings.sparkSession, rows)), index, "entry", count, staged=False)
 
 
 def add(spark: SparkSession, path: str, load: DataFrame, order_by: list[str]) -> None:

@@ -5,9 +5,10 @@ chosen once, when the table is created, by Spark's range partitioning; they stan
 table. A load finds the range of each of its keys, reads those ranges (the partition filter
 leaves out all others), merges and replaces them by a dynamic partition overwrite.
 
-The merged rows are staged before they replace anything, so a lost job has changed no range or
-is finished by running it again: an upsert or delete of the same rows twice gives the same
-table. One writer at a time, as for any folder.
+Rows move once: a table is dealt and written in one shuffle, and so is what a load rewrites. The
+overwrite stages its files and moves them into place when all are written, so a lost job has
+changed no range or is finished by running it again: an upsert or delete of the same rows twice
+gives the same table. One writer at a time, as for any folder.
 
 Keys compare as text, byte by byte. A key before the first range belongs to the first one.
 """
@@ -28,36 +29,41 @@ from scoreloom.session import work_path
 RANGES = 200
 RANGE = "key_range"
 ROWS_PER_TASK = 500_000  # rows that one task cuts, sorts and writes at most
+CODEC = "zstd"  # of the stored and staged rows
 
 
-def _tasks(spark: SparkSession, rows: DataFrame, least: int) -> int:
+def _tasks(spark: SparkSession, rows: DataFrame, key: str, least: int) -> int:
     """Tasks for dealing `rows` by key: more as the rows grow, so that no task sorts a growing share."""
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, shuffle, -(-rows.count() // ROWS_PER_TASK))
+    counted = rows.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(key).alias("keys")).first()
+    return max(1, min(counted.keys, max(least, shuffle, -(-counted.n // ROWS_PER_TASK))))
 
 
-def create(df: DataFrame, path: str, key: str = "row_key", ranges: int = RANGES) -> None:
-    """Write a keyed frame as a table of at most `ranges` key ranges, each sorted by key."""
+def create(df: DataFrame, path: str, key: str = "row_key", ranges: int = RANGES, staged: bool = True) -> None:
+    """Write a keyed frame as a table of at most `ranges` key ranges, each sorted by key.
+
+    The rows are read for their number, for Spark's range cut and for the table. They are staged
+    in between, so that they are computed once; `staged=False` is for rows that are only read and
+    projected, which takes less than to write them twice.
+    """
     spark = df.sparkSession
     df.limit(0).write.parquet(posixpath.join(path, "shape"))  # the columns, also of a table without rows
-    staged = work_path(spark, "range-rows")
-    df.write.parquet(staged)  # computed once, read for the bounds and for the table
-    rows = spark.read.parquet(staged)
-    # The ranges are runs of Spark's finer key cuts, and each range is cut again at its own keys
-    # when written, so that no task holds a whole range.
-    count = _tasks(spark, rows, ranges)
-    cuts = rows.select(key).repartitionByRange(count, key).withColumn("cut", F.spark_partition_id())
-    found = cuts.groupBy("cut").agg(F.min(key).alias("low")).collect()
-    lows = sorted(r.low for r in found if r.low is not None)
-    lows = sorted({lows[i * len(lows) // ranges] for i in range(min(ranges, len(lows)))}) or [""]
-    ranged = rows.withColumn(RANGE, range_of(F.col(key), lows, list(range(len(lows)))))
-    dealt = ranged.repartitionByRange(count, RANGE, key).sortWithinPartitions(RANGE, key)
-    dealt.write.partitionBy(RANGE).parquet(posixpath.join(path, "rows"))
-    # Each low is a key of its range and no smaller key falls into it: the lows are the lowest
-    # keys, and no scan of the table is needed for them. A table without rows has one range.
-    lowest = spark.createDataFrame(
-        [(low, number, key) for number, low in enumerate(lows)], f"lowest string, {RANGE} int, key_column string"
-    )
+    rows = df
+    if staged:
+        place = work_path(spark, "range-rows")
+        df.write.parquet(place, compression=CODEC)
+        rows = spark.read.parquet(place)
+    # The ranges are runs of Spark's finer key cuts, so that no task holds a whole range.
+    count = _tasks(spark, rows, key, ranges)
+    ranges = min(ranges, count)
+    number = F.least(F.floor(F.spark_partition_id() * ranges / count), F.lit(ranges - 1)).cast("int")
+    dealt = rows.repartitionByRange(count, key).withColumn(RANGE, number).sortWithinPartitions(RANGE, key)
+    dealt.write.partitionBy(RANGE).parquet(posixpath.join(path, "rows"), compression=CODEC)
+    # A file is sorted by key: its first row has its lowest key, and nothing needs to be sorted again.
+    first = stored(spark, path).where(F.col("_metadata.row_index") == 0).select(RANGE, F.col(key).alias("low"))
+    found = first.groupBy(RANGE).agg(F.min("low").alias("low")).collect()
+    lows = [(r.low or "", r[RANGE], key) for r in found] or [("", 0, key)]
+    lowest = spark.createDataFrame(lows, f"lowest string, {RANGE} int, key_column string")
     lowest.coalesce(1).write.parquet(posixpath.join(path, "ranges"))
 
 
@@ -86,11 +92,22 @@ def range_of(key: Column, lows: list[str], numbers: list[int]) -> Column:
     return F.element_at(F.lit(numbers), F.greatest(below, F.lit(1)))
 
 
+def _touched(spark: SparkSession, path: str, keys: DataFrame) -> dict[int, int]:
+    """How many of these keys each range holds, for ranges that hold any (at most all ranges)."""
+    key, lows, numbers = _bounds(spark, path)
+    found = keys.select(range_of(F.col(key), lows, numbers).alias(RANGE)).groupBy(RANGE).agg(F.count(F.lit(1)).alias("n"))
+    return {r[RANGE]: r.n for r in found.collect()}
+
+
 def touched(spark: SparkSession, path: str, keys: DataFrame) -> list[int]:
     """Numbers of the ranges that hold any of these keys (at most all ranges)."""
-    key, lows, numbers = _bounds(spark, path)
-    found = keys.select(range_of(F.col(key), lows, numbers).alias(RANGE)).distinct()
-    return sorted(r[RANGE] for r in found.collect())
+    return sorted(_touched(spark, path, keys))
+
+
+def _files(spark: SparkSession, path: str) -> dict[str, int]:
+    """The files of the table and the range of each."""
+    found = stored(spark, path).inputFiles()
+    return {f: int(f.rsplit(f"{RANGE}=", 1)[1].split("/", 1)[0]) for f in found}
 
 
 def rewrite(
@@ -102,23 +119,24 @@ def rewrite(
     """
     key, lows, numbers = _bounds(spark, path)
     rows = posixpath.join(path, "rows")
-    ids = touched(spark, path, keys)
+    asked = _touched(spark, path, keys)
+    ids = sorted(asked)
     if not ids:
         return ids
-    columns = [c for c in stored(spark, path).columns if c != RANGE]
-    changed = change(stored(spark, path).where(F.col(RANGE).isin(ids)).drop(RANGE)).select(*columns)
+    found = stored(spark, path).where(F.col(RANGE).isin(ids))
+    changed = change(found.drop(RANGE)).select(*[c for c in found.columns if c != RANGE])
     ranged = changed.withColumn(RANGE, range_of(F.col(key), lows, numbers))
-    staged = work_path(spark, "changed-ranges")
-    # Each range is cut at its own keys, so that a hot range is written by several tasks.
-    dealt = ranged.repartitionByRange(RANGE, key).sortWithinPartitions(RANGE, key)
-    dealt.write.partitionBy(RANGE).parquet(staged)
-    merged = spark.read.schema(stored(spark, path).schema).parquet(staged)
-    # Each range is replaced by its staged files as they are, each sorted by key: a write by
-    # partition column would sort whole file splits again. A range without rows is emptied.
-    for number in ids:
-        merged.where(F.col(RANGE) == number).drop(RANGE).write.mode("overwrite").parquet(
-            posixpath.join(rows, f"{RANGE}={number}")
-        )
+    # Each range is cut at its own keys, into more tasks as it grows; a file is sorted by key.
+    count = max(len(ids), -(-(found.count() + sum(asked.values())) // ROWS_PER_TASK))
+    dealt = ranged.repartitionByRange(count, RANGE, key).sortWithinPartitions(RANGE, key)
+    before = _files(spark, path)
+    replacing = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    replacing.partitionBy(RANGE).parquet(rows, compression=CODEC)
+    # The overwrite leaves a range that lost all rows as it was: its old files are still there.
+    left = {number for file, number in _files(spark, path).items() if file in before}
+    nothing = spark.createDataFrame([], spark.read.parquet(posixpath.join(path, "shape")).schema)
+    for number in sorted(left & set(ids)):
+        nothing.write.mode("overwrite").parquet(posixpath.join(rows, f"{RANGE}={number}"))
     return ids
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.functions.keys import key_part
+from scoreloom.functions.keys import key_part, rating_key
 from scoreloom.functions.text import normalize_title
 from scoreloom.operators import cells, search, summary
 from scoreloom.operators.upsert import last_per_key
@@ -26,11 +26,11 @@ ITEM_COLUMNS = "row_key, item_id, title, genres"
 
 def keyed_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = views.ratings(spark, sf_dir).select(
-        "row_key", "user_id", "item_id", "rating", "timestamp", "order_id", "line_no"
+        "user_id", "item_id", "rating", "timestamp", "order_id", "line_no"
     )
-    return last_per_key(
-        rated, ["row_key", "user_id", "item_id"], ["timestamp", "order_id", "line_no"]
-    ).select(*search.RATING_FIELDS)
+    # User and item make the key: it is added afterwards, so that it is not shuffled.
+    last = last_per_key(rated, ["user_id", "item_id"], ["timestamp", "order_id", "line_no"])
+    return last.withColumn("row_key", rating_key(F.col("user_id"), F.col("item_id"))).select(*search.RATING_FIELDS)
 
 
 def stored_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
